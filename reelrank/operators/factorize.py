@@ -135,46 +135,57 @@ def _errors(ratings: DataFrame, U: DataFrame, M: DataFrame, rank: int) -> DataFr
                     (F.col(RATING) - _dot(F.col("u"), F.col("m"), rank)).alias("e")))
 
 
-def mf_step(ratings: DataFrame, U: DataFrame, M: DataFrame, rank: int = 10,
-            lam: float = 0.1, alpha: float = 0.01):
-    """One round: per rating e = r - u.m; gradients -2*e*m + 2*lam*u and
-    -2*e*u + 2*lam*m are averaged per id (one hash aggregate per side
-    with partial sums, one column per factor) and applied with rate alpha."""
-    err = _errors(ratings, U, M, rank)
+def mf_step(factors: DataFrame, ratings: DataFrame, rank: int = 10, lam: float = 0.1,
+            alpha: float = 0.01, broadcast_u: bool = False, broadcast_m: bool = False) -> DataFrame:
+    """One round on the stacked factor table (side 'u'/'m', id, features):
+    per rating e = r - u.m; each rating row yields a user gradient
+    -2*e*m + 2*lam*u and an item gradient -2*e*u + 2*lam*m; both are
+    averaged per (side, id) in ONE hash aggregate (partial sums before the
+    shuffle, one column per factor) and applied with rate alpha."""
+    U = factors.filter(F.col("side") == "u").select("id", "features")
+    M = factors.filter(F.col("side") == "m").select("id", "features")
+    err = _errors(ratings, F.broadcast(U) if broadcast_u else U,
+                  F.broadcast(M) if broadcast_m else M, rank)
+    rows = err.select("e", F.explode(F.array(
+        F.struct(F.lit("u").alias("side"), F.col(USER).alias("id"),
+                 F.col("u").alias("own"), F.col("m").alias("other")),
+        F.struct(F.lit("m").alias("side"), F.col(ITEM).alias("id"),
+                 F.col("m").alias("own"), F.col("u").alias("other")))).alias("g"))
     e = F.col("e")
+    grads = rows.groupBy(F.col("g.side").alias("side"), F.col("g.id").alias("id")).agg(
+        *[F.avg(F.lit(-2.0) * e * F.col("g.other")[k] + F.lit(2.0 * lam) * F.col("g.own")[k]).alias(f"g{k}")
+          for k in range(rank)])
+    return factors.join(grads, ["side", "id"]).select(
+        "side", "id", F.array(*[F.col("features")[k] - F.lit(alpha) * F.col(f"g{k}")
+                                for k in range(rank)]).alias("features"))
+
 
-    def grads(key: str, own: str, other: str) -> DataFrame:
-        aggs = [F.avg(F.lit(-2.0) * e * F.col(other)[k] + F.lit(2.0 * lam) * F.col(own)[k]).alias(f"g{k}")
-                for k in range(rank)]
-        return err.groupBy(key).agg(*aggs).withColumnRenamed(key, "id")
+def stack_factors(U: DataFrame, M: DataFrame) -> DataFrame:
+    return (U.select(F.lit("u").alias("side"), "id", "features")
+            .unionByName(M.select(F.lit("m").alias("side"), "id", "features")))
 
-    def apply(F0: DataFrame, g: DataFrame) -> DataFrame:
-        return F0.join(g, "id").select(
-            "id", F.array(*[F.col("features")[k] - F.lit(alpha) * F.col(f"g{k}")
-                            for k in range(rank)]).alias("features"))
 
-    return apply(U, grads(USER, "u", "m")), apply(M, grads(ITEM, "m", "u"))
+def split_factors(factors: DataFrame):
+    return (factors.filter(F.col("side") == "u").select("id", "features"),
+            factors.filter(F.col("side") == "m").select("id", "features"))
 
 
 def mf_gradient(ratings: DataFrame, rank: int = 10, iterations: int = 10,
                 lam: float = 0.1, alpha: float = 0.01, seed: int = 42):
     """Gradient-descent factorization: (U, M) after ``iterations`` rounds.
-    Inputs and each round's factors are checkpointed to the shared
+    The ratings and each round's factors are checkpointed to the shared
     checkpoint folder, so the plan stays one round deep and a lost
-    executor recomputes at most one round."""
+    executor recomputes at most one round. Factor sides are broadcast
+    only when a bounded count shows them small."""
     ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
     U = mf_init(ratings, USER, rank, seed)
     M = mf_init(ratings, ITEM, rank, seed)
     small_u = bounded_count(U, DEFAULT_BROADCAST_ROWS) <= DEFAULT_BROADCAST_ROWS
     small_m = bounded_count(M, DEFAULT_BROADCAST_ROWS) <= DEFAULT_BROADCAST_ROWS
+    factors = cut_lineage(stack_factors(U, M))
     for _ in range(iterations):
-        U1, M1 = mf_step(ratings, F.broadcast(U) if small_u else U,
-                         F.broadcast(M) if small_m else M, rank, lam, alpha)
-        both = cut_lineage(U1.withColumn("side", F.lit("u"))
-                           .unionByName(M1.withColumn("side", F.lit("m"))))
-        U = both.filter(F.col("side") == "u").drop("side")
-        M = both.filter(F.col("side") == "m").drop("side")
-    return U, M
+        factors = cut_lineage(mf_step(factors, ratings, rank, lam, alpha, small_u, small_m))
+    return split_factors(factors)
 
 
 def mf_loss(ratings: DataFrame, U: DataFrame, M: DataFrame, rank: int = 10,

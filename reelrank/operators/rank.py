@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from reelrank.session import cut_lineage
+
 # Scores are compared at this many decimals when ranking, so values that
 # are equal up to float summation order tie and fall back to the id.
 RANK_DIGITS = 9
@@ -36,8 +38,10 @@ def score_range(df: DataFrame, score: str):
 def minmax_scale(df: DataFrame, score: str, upper: float = 10.0, cap: float = 10.0,
                  constant: float = 5.0, out: str = "NormalizedScore") -> DataFrame:
     """least(bround(upper * (x - min) / (max - min), 2), cap); every row
-    gets ``constant`` when all scores are equal. min and max come from a
-    one-row aggregate."""
+    gets ``constant`` when all scores are equal. The scores (one row per
+    item) are written once to the checkpoint folder; min and max are a
+    one-row aggregate over that copy, so the scoring plan runs once."""
+    df = cut_lineage(df)
     lo, hi = score_range(df, score)
     if lo is None:
         return df.withColumn(out, F.lit(None).cast("double"))

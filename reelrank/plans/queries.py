@@ -20,6 +20,7 @@ from reelrank.operators import sentiment as se
 from reelrank.operators.blend import blend_recommendations
 from reelrank.operators.rank import minmax_scale, topn_per_user
 from reelrank.plans.pipelines import hybrid_recommendations
+from reelrank.session import cut_lineage
 from reelrank.sources.tables import review_texts, reviews, table
 
 TARGET = 26
@@ -47,16 +48,24 @@ def _typed_reviews(spark, d) -> DataFrame:
                     F.col("creationDate").cast("date").cast("string").alias("creationDate"))
 
 
-def _ratings(spark, d) -> DataFrame:
-    return ra.user_item_ratings(reviews(spark, d))
+def _ratings(spark, d, reuse: bool = False) -> DataFrame:
+    """Ratings per (user, item). ``reuse``: the plan reads them several
+    times (size checks, target and neighbour branches), so they are
+    written once to the checkpoint folder instead of re-deriving them
+    from lineitem x orders in every branch (Catalyst pushes each branch's
+    filter below the aggregate, so no exchange would be shared)."""
+    r = ra.user_item_ratings(reviews(spark, d))
+    return cut_lineage(r) if reuse else r
 
 
-def _blended(spark, d) -> DataFrame:
-    return ra.user_item_ratings(reviews(spark, d), weight=0.5)
+def _blended(spark, d, reuse: bool = False) -> DataFrame:
+    r = ra.user_item_ratings(reviews(spark, d), weight=0.5)
+    return cut_lineage(r) if reuse else r
 
 
-def _gd_ratings(spark, d) -> DataFrame:
-    return ra.user_item_ratings(reviews(spark, d), weight=0.5, clamp=True)
+def _gd_ratings(spark, d, reuse: bool = False) -> DataFrame:
+    r = ra.user_item_ratings(reviews(spark, d), weight=0.5, clamp=True)
+    return cut_lineage(r) if reuse else r
 
 
 # ------------------------------------------------------------------ queries
@@ -82,11 +91,11 @@ def q_seen_items(spark, d):
 
 
 def q_user_similarity(spark, d):
-    return nb.user_similarity(_ratings(spark, d), TARGET).select("userId", _r("dot"), _r("similarity"))
+    return nb.user_similarity(_ratings(spark, d, reuse=True), TARGET).select("userId", _r("dot"), _r("similarity"))
 
 
 def q_user_knn(spark, d):
-    return nb.user_knn(_ratings(spark, d), TARGET, TOP_N).select("userId", "itemId", _r("totalScore"))
+    return nb.user_knn(_ratings(spark, d, reuse=True), TARGET, TOP_N).select("userId", "itemId", _r("totalScore"))
 
 
 def q_topn_per_user(spark, d):
@@ -95,28 +104,28 @@ def q_topn_per_user(spark, d):
 
 
 def q_item_similarity(spark, d):
-    return nb.item_similarity(_ratings(spark, d)).select("item1", "item2", _r("similarity"))
+    return nb.item_similarity(_ratings(spark, d, reuse=True)).select("item1", "item2", _r("similarity"))
 
 
 def q_two_hop_scores(spark, d):
-    out = nb.two_hop_scores(nb.item_similarity(_ratings(spark, d)))
+    out = nb.two_hop_scores(nb.item_similarity(_ratings(spark, d, reuse=True)))
     return out.select("itemId", _r("predictedScore"), "NormalizedScore")
 
 
 def q_item_knn(spark, d):
-    out = nb.item_knn(_blended(spark, d), TARGET, TOP_N)
+    out = nb.item_knn(_blended(spark, d, reuse=True), TARGET, TOP_N)
     return out.select("userId", "itemId", _r("predictedScore"), "totalScore")
 
 
 def q_unseen_pair_scores(spark, d):
-    blended = _blended(spark, d)
+    blended = _blended(spark, d, reuse=True)
     out = nb.unseen_pair_scores(nb.item_similarity(blended), blended, TARGET)
     out = minmax_scale(out, "predictedScore", upper=5.0, cap=10.0)
     return out.select("itemId", _r("predictedScore"), "NormalizedScore")
 
 
-def q_pivot_ratings(spark, d):
-    ratings = _ratings(spark, d)
+def q_pivot_ratings(spark, d, reuse=True):
+    ratings = _ratings(spark, d, reuse=True)
     counts = ratings.groupBy("itemId").agg(F.count(F.lit(1)).alias("n"))
     order = [F.col("n").desc(), F.col("itemId")]
     # the PIVOT_ITEMS most rated items (a bounded top-k), numbered 1..k
@@ -204,13 +213,13 @@ def q_scored_reviews(spark, d):
 
 
 def q_blend_recommendations(spark, d):
-    knn = nb.user_knn(_ratings(spark, d), TARGET, TOP_N)
-    iknn = nb.item_knn(_blended(spark, d), TARGET, TOP_N)
+    knn = nb.user_knn(_ratings(spark, d, reuse=True), TARGET, TOP_N)
+    iknn = nb.item_knn(_blended(spark, d, reuse=True), TARGET, TOP_N)
     return blend_recommendations(knn, iknn).select("userId", "itemId", _r("totalScore"))
 
 
 def _start_factors(spark, d):
-    ratings = _gd_ratings(spark, d)
+    ratings = _gd_ratings(spark, d, reuse=True)
     return (ratings, fz.mf_init(ratings, "userId", GD["rank"], GD["seed"]),
             fz.mf_init(ratings, "itemId", GD["rank"], GD["seed"]))
 
@@ -223,7 +232,8 @@ def q_mf_loss(spark, d):
 
 def q_mf_gradient_step(spark, d):
     ratings, U, M = _start_factors(spark, d)
-    U1, M1 = fz.mf_step(ratings, U, M, GD["rank"], GD["lam"], GD["alpha"])
+    U1, M1 = fz.split_factors(fz.mf_step(fz.stack_factors(U, M), ratings, GD["rank"],
+                                         GD["lam"], GD["alpha"]))
 
     def longform(df, side):
         return df.select(F.lit(side).alias("side"), F.col("id").cast("long").alias("id"),
@@ -238,15 +248,15 @@ def q_score_items(spark, d):
 
 
 def q_als_recommend(spark, d):
-    return fz.als_recommend(_ratings(spark, d), TARGET, TOP_N, RANK, seed=SEED)
+    return fz.als_recommend(_ratings(spark, d, reuse=True), TARGET, TOP_N, RANK, seed=SEED)
 
 
 def q_als_fit_predict(spark, d):
-    return fz.als_fit_predict(_ratings(spark, d), RANK, seed=SEED)
+    return fz.als_fit_predict(_ratings(spark, d, reuse=True), RANK, seed=SEED)
 
 
 def q_rating_rmse(spark, d):
-    return fz.rating_rmse(_ratings(spark, d), 0.2, SEED, RANK)
+    return fz.rating_rmse(_ratings(spark, d, reuse=True), 0.2, SEED, RANK)
 
 
 def q_mf_recommend(spark, d):
@@ -255,7 +265,7 @@ def q_mf_recommend(spark, d):
 
 
 def q_hybrid_recommendations(spark, d):
-    return hybrid_recommendations(_ratings(spark, d), TARGET, TOP_N, RANK, seed=SEED)
+    return hybrid_recommendations(_ratings(spark, d, reuse=True), TARGET, TOP_N, RANK, seed=SEED)
 
 
 QUERIES: dict[str, Query] = {
