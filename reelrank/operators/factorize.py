@@ -13,6 +13,9 @@ from reelrank.session import cut_lineage
 from reelrank.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, sized_broadcast
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
+# A factor row carries rank doubles (~100 bytes at rank 10): a tighter
+# broadcast bound than for key-only tables.
+FACTOR_BROADCAST_ROWS = 500_000
 REC_SCHEMA = "userId long, itemId long, totalScore double"
 
 
@@ -180,8 +183,8 @@ def mf_gradient(ratings: DataFrame, rank: int = 10, iterations: int = 10,
     ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
     U = mf_init(ratings, USER, rank, seed)
     M = mf_init(ratings, ITEM, rank, seed)
-    small_u = bounded_count(U, DEFAULT_BROADCAST_ROWS) <= DEFAULT_BROADCAST_ROWS
-    small_m = bounded_count(M, DEFAULT_BROADCAST_ROWS) <= DEFAULT_BROADCAST_ROWS
+    small_u = bounded_count(U, FACTOR_BROADCAST_ROWS) <= FACTOR_BROADCAST_ROWS
+    small_m = bounded_count(M, FACTOR_BROADCAST_ROWS) <= FACTOR_BROADCAST_ROWS
     factors = cut_lineage(stack_factors(U, M))
     for _ in range(iterations):
         factors = cut_lineage(mf_step(factors, ratings, rank, lam, alpha, small_u, small_m))
