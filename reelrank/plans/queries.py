@@ -108,7 +108,7 @@ def q_item_similarity(spark, d):
 
 
 def q_two_hop_scores(spark, d):
-    out = nb.two_hop_scores(nb.item_similarity(_ratings(spark, d, reuse=True)))
+    out = nb.two_hop_scores_from_ratings(_ratings(spark, d, reuse=True))
     return out.select("itemId", _r("predictedScore"), "NormalizedScore")
 
 

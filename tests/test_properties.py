@@ -70,6 +70,10 @@ def test_two_hop_matches_path_enumeration(rand_df, rand_rows):
     got = {r.itemId: r.predictedScore for r in nb.two_hop_raw(nb.item_similarity(rand_df)).collect()}
     assert set(got) == has_path
     assert all(abs(got[i] - expected[i]) < 1e-9 for i in got)
+    for kw in ({}, {"max_block_items": 4, "max_block_rows": 10}):
+        fused = {r.itemId: r.predictedScore for r in nb.two_hop_from_ratings(rand_df, **kw).collect()}
+        assert set(fused) == has_path
+        assert all(abs(fused[i] - expected[i]) < 1e-9 for i in fused)
 
 
 def test_item_knn_matches_pair_sums(rand_df, rand_rows):
