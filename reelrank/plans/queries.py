@@ -118,8 +118,7 @@ def q_item_knn(spark, d):
 
 
 def q_unseen_pair_scores(spark, d):
-    blended = _blended(spark, d, reuse=True)
-    out = nb.unseen_pair_scores(nb.item_similarity(blended), blended, TARGET)
+    out = nb.unseen_pair_scores_from_ratings(_blended(spark, d, reuse=True), TARGET)
     out = minmax_scale(out, "predictedScore", upper=5.0, cap=10.0)
     return out.select("itemId", _r("predictedScore"), "NormalizedScore")
 
