@@ -104,10 +104,14 @@ def label_scores(sentiment: DataFrame, seed: int = 42) -> DataFrame:
                             label_to_score(lab, ["doc_id"], seed).alias("labelScore"))
 
 
-def scored_reviews(reviews: DataFrame, sentiment: DataFrame) -> DataFrame:
+def scored_reviews(reviews: DataFrame, sentiment: DataFrame,
+                   max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Reviews with sentimentResult replaced by the text's sentiment; the
-    per-text scores (one row per distinct text) join on doc_id."""
-    s = sentiment.select("doc_id", F.col("sentiment").alias("_s"))
+    per-text scores (one row per distinct text) join on doc_id. Many
+    reviews may share one text: the per-text side is broadcast when a
+    bounded count shows it small, else AQE splits the hot doc_id."""
+    s = sized_broadcast(sentiment.select("doc_id", F.col("sentiment").alias("_s")),
+                        max_broadcast_rows)
     return (reviews.join(s, "doc_id", "left")
             .withColumn("sentimentResult", F.coalesce(F.col("_s"), F.lit(NEUTRAL_SCORE)))
             .drop("_s"))

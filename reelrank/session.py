@@ -50,7 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     Only local runs (tests, bench, the driver smoke check) may fall back
     to a fresh temporary folder, and only when nothing is configured.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -69,5 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared checkpoint folder (eager)."""
     spark = spark or df.sparkSession
-    ensure_checkpoint_dir(spark, allow_local=spark.sparkContext.master.startswith("local"))
+    try:
+        local = spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 - Spark Connect client
+        local = False
+    ensure_checkpoint_dir(spark, allow_local=local)
     return df.checkpoint(eager=True)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reelrank.sizing import parallelism
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
@@ -33,13 +35,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     inputs the scan already has many partitions and this is a no-op.
     Filters and column pruning still reach the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
+    cores = parallelism(spark)
     key = SPREAD_KEYS.get(name)
-    if key and key in df.columns and df.rdd.getNumPartitions() < cores:
+    if key and key in df.columns and _scan_partitions(df, cores) < cores:
         df = df.repartition(cores, key)
     return df
 
 
+def _scan_partitions(df: DataFrame, default: int) -> int:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view on this client
+        return default
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """userId, itemId, rating (1-5), sentimentResult (1-5), doc_id, creationDate.
 
