@@ -10,7 +10,7 @@ from reelrank.functions.scalar import clamp_score, dot_literal, round_score
 from reelrank.operators.prepare import apply_index, index_ids, train_test_split
 from reelrank.operators.rank import top_n
 from reelrank.session import cut_lineage
-from reelrank.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, sized_broadcast
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, parallelism, sized_broadcast
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
 # A factor row carries rank doubles (~100 bytes at rank 10): a tighter
@@ -28,7 +28,7 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     from pyspark.ml.recommendation import ALS
 
     spark = ratings.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks or max(1, min(parallelism(spark), 200))
     data = ratings.select(F.col(USER).cast("int").alias(USER),
                           F.col(ITEM).cast("int").alias(ITEM),
                           F.col(RATING).cast("float").alias(RATING))

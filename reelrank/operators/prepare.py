@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from reelrank.functions.hashing import unit_hash
 from reelrank.session import cut_lineage
+from reelrank.sizing import parallelism
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
            T.FloatType, T.DoubleType, T.DecimalType)
@@ -84,8 +85,7 @@ def index_ids(df: DataFrame, col: str, method: str = "sorted", partitions: int |
         order = [F.col(col).asc()]
     else:
         raise ValueError(f"unknown method {method!r}")
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or parallelism(df.sparkSession)
     ranged = keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     tagged = ranged.select(col, F.spark_partition_id().alias("_pid"),
                            F.monotonically_increasing_id().alias("_mid"))

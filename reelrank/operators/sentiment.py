@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reelrank.functions.scalar import (class_to_label, class_to_score, label_to_score,
                                        round_ratio_half_up)
 from reelrank.functions.text import sentences, tokens
+from reelrank.session import cut_lineage
 from reelrank.sizing import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 # Class cut points on a sentence's mean token polarity.
@@ -37,8 +38,9 @@ def polarity_lexicon(documents: DataFrame, labels: DataFrame, min_docs: int = 1)
     d1 = lab.select(F.sum(F.when(F.col("quality") == 1, 1).otherwise(0))).scalar()
     d0 = lab.select(F.sum(F.when(F.col("quality") == 0, 1).otherwise(0))).scalar()
     pol = (F.log((F.col("df1") + 1.0) / (d1 + 2.0)) - F.log((F.col("df0") + 1.0) / (d0 + 2.0)))
-    return (counts.filter(F.col("df1") + F.col("df0") >= min_docs)
-            .select("token", "df1", "df0", pol.alias("polarity")))
+    # a trained artifact read by a size check and a broadcast: write it once
+    return cut_lineage(counts.filter(F.col("df1") + F.col("df0") >= min_docs)
+                       .select("token", "df1", "df0", pol.alias("polarity")))
 
 
 def polarity_class(p: Column | str, cuts=CUTS) -> Column:

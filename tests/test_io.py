@@ -31,3 +31,16 @@ def test_write_and_read_back(spark):
     assert back.collect() == df.collect()
     write_table(df, os.path.join(d, "tbl"))
     assert spark.read.parquet(os.path.join(d, "tbl")).collect() == df.collect()
+
+
+def test_read_reviews_keeps_corrupt_rows(spark):
+    d = tempfile.mkdtemp(prefix="reelrank-io-")
+    path = os.path.join(d, "raw.csv")
+    with open(path, "w") as f:
+        f.write('movieId,rating,quote,creationDate,userId\n')
+        f.write('10,4.5,"fine",2020-01-01,7\n')
+        f.write('11,3,"too",many,fields,here,8\n')
+    rows = read_reviews(spark, path, keep_corrupt=True).collect()
+    assert len(rows) == 2
+    assert rows[0]["_corrupt_record"] is None and rows[1]["_corrupt_record"] is not None
+    assert len(read_reviews(spark, path).collect()) == 1
