@@ -23,6 +23,7 @@ from reelrank.operators.ratings import user_item_ratings
 from reelrank.session import apply_plan_conf, cut_lineage, ensure_checkpoint_dir
 from reelrank.sources.sinks import write_recommendations, write_table
 
+# Raw review columns the preparation step drops.
 RAW_DROP = ("isVerified", "isSuperReviewer", "hasSpoilers", "hasProfanity",
             "userRealm", "reviewId", "score", "userDisplayName")
 

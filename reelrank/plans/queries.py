@@ -23,6 +23,8 @@ from reelrank.plans.pipelines import hybrid_recommendations
 from reelrank.session import cut_lineage
 from reelrank.sources.tables import review_texts, reviews, table
 
+# The reference's job parameters (target user, list length,
+# seed, factor rank, sample sizes; GD rank, lambda, rate).
 TARGET = 26
 TOP_N = 500
 SEED = 42
