@@ -113,7 +113,7 @@ def scored_reviews(reviews: DataFrame, sentiment: DataFrame,
     reviews may share one text: the per-text side is broadcast when a
     bounded count shows it small, else AQE splits the hot doc_id."""
     s = sized_broadcast(sentiment.select("doc_id", F.col("sentiment").alias("_s")),
-                        max_broadcast_rows)
+                        max_broadcast_rows, materialize=True)
     return (reviews.join(s, "doc_id", "left")
             .withColumn("sentimentResult", F.coalesce(F.col("_s"), F.lit(NEUTRAL_SCORE)))
             .drop("_s"))

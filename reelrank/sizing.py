@@ -19,8 +19,16 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                    materialize: bool = False) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    ``materialize``: the side is an aggregate whose computation is a full
+    pass over large data; it is written once to the checkpoint folder so
+    the count and the join read that copy instead of recomputing it."""
+    if materialize:
+        from reelrank.session import cut_lineage
+        df = cut_lineage(df)
     if bounded_count(df, max_rows) <= max_rows:
         return F.broadcast(df)
     return df
