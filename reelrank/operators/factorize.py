@@ -9,8 +9,9 @@ from reelrank.functions.hashing import unit_hash
 from reelrank.functions.scalar import clamp_score, dot_literal, round_score
 from reelrank.operators.prepare import apply_index, index_ids, train_test_split
 from reelrank.operators.rank import top_n
+from reelrank.operators.ratings import exclude_seen
 from reelrank.session import cut_lineage
-from reelrank.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, parallelism, sized_broadcast
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, parallelism
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
 # A factor row carries rank doubles (~100 bytes at rank 10): a tighter
@@ -57,9 +58,8 @@ def recommend_from_factors(item_factors: DataFrame, vec, ratings: DataFrame, tar
         return spark.createDataFrame([], REC_SCHEMA)
     scores = item_factors.select(F.col("id").cast("long").alias(ITEM),
                                  dot_literal("features", vec).alias("score"))
-    seen = sized_broadcast(ratings.filter(F.col(USER) == F.lit(target)).select(ITEM),
-                           max_broadcast_rows)
-    cand = scores.join(seen, ITEM, "left_anti")
+    cand = exclude_seen(scores, ratings.filter(F.col(USER) == F.lit(target)), [ITEM],
+                        max_broadcast_rows)
     if positive_only:
         cand = cand.filter(F.col("score") > 0)
     return (top_n(cand, n, "score", ITEM)

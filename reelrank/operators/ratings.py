@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from reelrank.functions.scalar import blend_rating
-from reelrank.sizing import sized_broadcast
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, sized_broadcast
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
 
@@ -60,9 +60,11 @@ def seen_report(ratings: DataFrame) -> DataFrame:
 
 def exclude_seen(candidates: DataFrame, seen: DataFrame,
                  keys: Sequence[str] = (USER, ITEM),
-                 max_broadcast_rows: int | None = None) -> DataFrame:
-    """Candidates whose keys are not in ``seen`` (left anti join, no
-    collect). ``seen`` is broadcast only after a bounded size check."""
+                 max_broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Candidates whose keys are not in ``seen`` (a left anti join; no list
+    is collected). The distinct seen keys are broadcast only after a
+    bounded size check; beyond it the anti join shuffles (AQE splits a
+    skewed candidate key)."""
     seen = seen.select(*keys).distinct()
     if max_broadcast_rows:
         seen = sized_broadcast(seen, max_broadcast_rows)

@@ -3,7 +3,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from reelrank.functions.scalar import (blend_rating, class_to_label, class_to_score,
                                        round_ratio_half_up)

@@ -190,3 +190,11 @@ def test_als_recommend_shape(rand_df):
     assert len(out) <= 5 and not ({r.itemId for r in out} & seen)
     assert all(0.0 <= r.totalScore <= 5.0 for r in out)
     assert fz.als_recommend(rand_df, 10_000, 5, rank=3, max_iter=2).count() == 0
+
+
+def test_exclude_seen(spark):
+    from reelrank.operators.ratings import exclude_seen
+    cand = spark.createDataFrame([(1, 10), (1, 11), (2, 10)], "userId long, itemId long")
+    seen = spark.createDataFrame([(1, 10), (1, 10), (2, 12)], "userId long, itemId long")
+    assert sorted(exclude_seen(cand, seen).collect()) == [(1, 11), (2, 10)]
+    assert sorted(exclude_seen(cand, seen, max_broadcast_rows=0).collect()) == [(1, 11), (2, 10)]
