@@ -35,6 +35,13 @@ def test_user_knn(R):
     assert {r.userId for r in out} == {3}
 
 
+def test_user_knn_min_common(R):
+    sim = nb.user_similarity(R, 1, min_common=2).collect()
+    assert [r.userId for r in sim] == [2]  # u3 shares one item only
+    out = nb.user_knn(R, 1, 10, min_common=2).collect()
+    assert [(r.itemId, round(r.totalScore, 6)) for r in out] == [(3, 4.985272)]
+
+
 def test_item_similarity(R):
     pairs = {(r.item1, r.item2): r.similarity for r in nb.item_similarity(R).collect()}
     assert set(pairs) == {(1, 2), (1, 3), (2, 3)}
