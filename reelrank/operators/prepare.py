@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from reelrank.functions.hashing import unit_hash
 from reelrank.session import cut_lineage
-from reelrank.sizing import parallelism
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, parallelism, sized_broadcast
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
            T.FloatType, T.DoubleType, T.DecimalType)
@@ -100,9 +100,11 @@ def index_ids(df: DataFrame, col: str, method: str = "sorted", partitions: int |
                     (F.col("_offset") + local).cast("long").alias(f"{col}_index")))
 
 
-def apply_index(df: DataFrame, mapping: DataFrame, col: str) -> DataFrame:
-    """Replace ``col`` by its dense index (inner join with the mapping)."""
-    m = mapping.withColumnRenamed(f"{col}_original", col)
+def apply_index(df: DataFrame, mapping: DataFrame, col: str,
+                max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Replace ``col`` by its dense index (inner join with the mapping,
+    broadcast when a bounded count shows the mapping small)."""
+    m = sized_broadcast(mapping.withColumnRenamed(f"{col}_original", col), max_broadcast_rows)
     return df.join(m, col).drop(col).withColumnRenamed(f"{col}_index", col)
 
 
