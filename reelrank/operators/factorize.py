@@ -11,7 +11,8 @@ from reelrank.operators.prepare import apply_index, index_ids, train_test_split
 from reelrank.operators.rank import top_n
 from reelrank.operators.ratings import exclude_seen
 from reelrank.session import cut_lineage
-from reelrank.sizing import DEFAULT_BROADCAST_ROWS, bounded_count, parallelism
+from reelrank.sizing import (DEFAULT_BROADCAST_ROWS, bounded_count, broadcast_row_bound,
+                             parallelism)
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
 # A factor row carries rank doubles (~100 bytes at rank 10): a tighter
@@ -183,8 +184,10 @@ def mf_gradient(ratings: DataFrame, rank: int = 10, iterations: int = 10,
     ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
     U = mf_init(ratings, USER, rank, seed)
     M = mf_init(ratings, ITEM, rank, seed)
-    small_u = bounded_count(U, FACTOR_BROADCAST_ROWS) <= FACTOR_BROADCAST_ROWS
-    small_m = bounded_count(M, FACTOR_BROADCAST_ROWS) <= FACTOR_BROADCAST_ROWS
+    bound_u = broadcast_row_bound(U, FACTOR_BROADCAST_ROWS)
+    bound_m = broadcast_row_bound(M, FACTOR_BROADCAST_ROWS)
+    small_u = bounded_count(U, bound_u) <= bound_u
+    small_m = bounded_count(M, bound_m) <= bound_m
     factors = cut_lineage(stack_factors(U, M))
     for _ in range(iterations):
         factors = cut_lineage(mf_step(factors, ratings, rank, lam, alpha, small_u, small_m))

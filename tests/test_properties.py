@@ -211,3 +211,14 @@ def test_hot_item_splits_user_blocks(spark):
            for r in nb.item_similarity(df, max_block_items=6, max_block_rows=40).collect()}
     assert set(got) == set(expected)
     assert all(abs(got[k] - expected[k]) < 1e-9 for k in got)
+
+
+def test_sized_broadcast_bounds(spark):
+    from reelrank.sizing import broadcast_row_bound, row_bytes, sized_broadcast
+    df = spark.range(100).selectExpr("id", "array(1.0D, 2.0D) AS f")
+    assert row_bytes(df.schema) == 8 + 16 + 10 * 8
+    assert broadcast_row_bound(df, max_rows=50) == 50
+    assert broadcast_row_bound(df, max_rows=10**9, max_bytes=1120) == 10
+    hinted = sized_broadcast(df, max_rows=100)._jdf.queryExecution().analyzed().toString()
+    plain = sized_broadcast(df, max_rows=99)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
