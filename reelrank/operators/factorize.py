@@ -100,12 +100,17 @@ def als_fit_predict(ratings: DataFrame, rank: int = 10, max_iter: int = 10,
 
 
 def rating_rmse(ratings: DataFrame, test_fraction: float = 0.2, seed: int = 42,
-                rank: int = 10, max_iter: int = 10, reg: float = 0.1) -> DataFrame:
+                rank: int = 10, max_iter: int = 10, reg: float = 0.1,
+                holdout: bool = True) -> DataFrame:
     """Hold out a seeded hash split, train ALS on the rest, report the
-    RMSE on the held-out rows: rmse, n_test."""
-    split = train_test_split(ratings, [USER, ITEM], test_fraction, seed)
-    train = split.filter(F.col("split") == "train").drop("split")
-    test = split.filter(F.col("split") == "test").drop("split")
+    RMSE on the held-out rows: rmse, n_test. ``holdout=False`` trains and
+    evaluates on every row (a training error, as the reference printed)."""
+    if holdout:
+        split = train_test_split(ratings, [USER, ITEM], test_fraction, seed)
+        train = split.filter(F.col("split") == "train").drop("split")
+        test = split.filter(F.col("split") == "test").drop("split")
+    else:
+        train = test = ratings
     model = als_fit(train, rank, max_iter, reg, seed)
     pred = model.transform(test.select(F.col(USER).cast("int").alias(USER),
                                        F.col(ITEM).cast("int").alias(ITEM), RATING))

@@ -222,3 +222,10 @@ def test_sized_broadcast_bounds(spark):
     hinted = sized_broadcast(df, max_rows=100)._jdf.queryExecution().analyzed().toString()
     plain = sized_broadcast(df, max_rows=99)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_rating_rmse_train_below_holdout(rand_df):
+    test = fz.rating_rmse(rand_df, rank=3, max_iter=5).first()
+    train = fz.rating_rmse(rand_df, rank=3, max_iter=5, holdout=False).first()
+    assert train.n_test == rand_df.count() and 0 < test.n_test < train.n_test
+    assert train.rmse < test.rmse
