@@ -22,7 +22,7 @@ def _pmod(c: Column) -> Column:
 
 def _step(h: Column) -> Column:
     h = F.pmod(h * MULT, F.lit(MOD))
-    h = F.bitwise_xor(h, F.shiftright(h, 11)) if hasattr(F, "bitwise_xor") else h.bitwiseXOR(F.shiftright(h, 11))
+    h = h.bitwiseXOR(F.shiftright(h, 11))
     return F.pmod(h * MULT, F.lit(MOD))
 
 
