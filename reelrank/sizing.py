@@ -21,7 +21,7 @@ _ARRAY_LEN = 10
 
 def row_bytes(dtype: T.DataType) -> int:
     """A fixed estimate of a value's in-memory width (strings 32 bytes,
-    arrays of 10 elements) plus 8 bytes of row overhead at the top."""
+    arrays of 10 elements); ``broadcast_row_bound`` adds 8 bytes per row."""
     if isinstance(dtype, T.StructType):
         return sum(row_bytes(f.dataType) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
