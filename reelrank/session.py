@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -78,3 +79,22 @@ def cut_lineage(df, spark: SparkSession | None = None):
         local = False
     ensure_checkpoint_dir(spark, allow_local=local)
     return df.checkpoint(eager=True)
+
+
+def write_table_once(df, name: str, sort_by: tuple[str, ...] = ()):
+    """Write ``df`` as a parquet table under the shared checkpoint folder
+    and read it back. Unlike an RDD checkpoint, the table keeps file
+    statistics: filters reach its scan, and with ``sort_by`` each file is
+    sorted so row groups can be skipped by min/max (no extra shuffle)."""
+    spark = df.sparkSession
+    try:
+        local = spark.sparkContext.master.startswith("local")
+    except Exception:  # noqa: BLE001 - Spark Connect client
+        local = False
+    base = ensure_checkpoint_dir(spark, allow_local=local)
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
+    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    out.write.parquet(path)
+    return spark.read.parquet(path)
