@@ -209,7 +209,8 @@ def mf_loss(ratings: DataFrame, U: DataFrame, M: DataFrame, rank: int = 10,
 
     reg = F.lit(lam) * (sumsq(U) + sumsq(M))
     return (err.agg(F.sum(F.col("e") * F.col("e")).alias("sse"))
-            .select("sse", reg.alias("reg"), (F.col("sse") + reg).alias("loss")))
+            .select("sse", reg.alias("reg"))
+            .select("sse", "reg", (F.col("sse") + F.col("reg")).alias("loss")))
 
 
 def score_items(U: DataFrame, M: DataFrame, target: int) -> DataFrame:
