@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_QUERIES (comma list, default the headline set).
+     BENCH_QUERIES (comma list, default the headline set),
+     BENCH_PARTITIONS (shuffle partitions, default 2 x cpus).
 Each query runs to completion through a ``noop`` write (no collect).
 """
 
@@ -29,7 +30,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, partitions=2 * cpus, app="reelrank-bench")
+    spark = local_session(cpus, partitions=int(os.environ.get("BENCH_PARTITIONS", 2 * cpus)),
+                          app="reelrank-bench")
     # warm-up (not timed): JVM code paths, parquet footers, and one Python
     # worker per core (workers are reused by later Arrow tasks)
     QUERIES["user_item_ratings"](spark, sf_dir).write.format("noop").mode("overwrite").save()
