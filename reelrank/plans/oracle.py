@@ -11,8 +11,8 @@ from reelrank.functions.hashing import unit_hash_sql
 from reelrank.functions.text import (HTML_DROP, HTML_ENTITIES, NON_ASCII, SENTENCE, TOKEN,
                                      WHITESPACE_CLASS)
 from reelrank.operators.sentiment import CUTS
-from reelrank.plans.queries import (CAP_PER_USER, GD, PIVOT_ITEMS, REVIEW_KEYS, SAMPLE_FRACTION,
-                                    SAMPLE_ROWS, SEED, TARGET, TOP_N, TOP_PER_USER)
+from reelrank.plans.queries import (CAP_PER_USER, GD, GD_ROUNDS, PIVOT_ITEMS, REVIEW_KEYS,
+                                    SAMPLE_FRACTION, SAMPLE_ROWS, SEED, TARGET, TOP_N, TOP_PER_USER)
 
 
 def lit(s: str) -> str:
@@ -168,6 +168,31 @@ def gd_ctes() -> list[str]:
     ]
 
 
+def gd_rounds_ctes(rounds: int) -> list[str]:
+    """``rounds`` descent rounds unrolled: uf{t}, mf{t} -> uf{t+1}, mf{t+1}
+    (uf0 = uf, mf0 = mf from ``gd_ctes``)."""
+    lam2, alpha = 2.0 * GD["lam"], GD["alpha"]
+    ctes = ["uf0 AS (SELECT * FROM uf)", "mf0 AS (SELECT * FROM mf)"]
+    for t in range(rounds):
+        n = t + 1
+        ctes += [
+            f"""e{t} AS (SELECT r.userId, r.itemId, r.rating - sum(u.f * m.f) AS e
+  FROM gratings r JOIN uf{t} u ON u.id = r.userId JOIN mf{t} m ON m.id = r.itemId AND m.k = u.k
+  GROUP BY r.userId, r.itemId, r.rating)""",
+            f"""ug{t} AS (SELECT p.userId AS id, u.k, avg(-2.0 * p.e * m.f + {lam2} * u.f) AS g
+  FROM e{t} p JOIN uf{t} u ON u.id = p.userId JOIN mf{t} m ON m.id = p.itemId AND m.k = u.k
+  GROUP BY p.userId, u.k)""",
+            f"""mg{t} AS (SELECT p.itemId AS id, m.k, avg(-2.0 * p.e * u.f + {lam2} * m.f) AS g
+  FROM e{t} p JOIN uf{t} u ON u.id = p.userId JOIN mf{t} m ON m.id = p.itemId AND m.k = u.k
+  GROUP BY p.itemId, m.k)""",
+            f"""uf{n} AS (SELECT u.id, u.k, u.f - {alpha} * g.g AS f
+  FROM uf{t} u JOIN ug{t} g ON g.id = u.id AND g.k = u.k)""",
+            f"""mf{n} AS (SELECT m.id, m.k, m.f - {alpha} * g.g AS f
+  FROM mf{t} m JOIN mg{t} g ON g.id = m.id AND g.k = m.k)""",
+        ]
+    return ctes
+
+
 def _oracles() -> dict[str, str]:
     h_reviews = unit_hash_sql(REVIEW_KEYS, SEED)
     h_split = unit_hash_sql(["userId", "itemId"], SEED)
@@ -276,6 +301,14 @@ FROM uf JOIN ug ON ug.id = uf.id AND ug.k = uf.k
 UNION ALL
 SELECT 'm' AS side, mf.id, CAST(mf.k AS BIGINT) AS k, round(mf.f - {alpha} * mg.g, 8) AS value
 FROM mf JOIN mg ON mg.id = mf.id AND mg.k = mf.k""",
+        "mf_recommend": with_(REVIEWS, *gd_ctes(), *gd_rounds_ctes(GD_ROUNDS),
+                              f"""gsc AS (SELECT m.id AS itemId, sum(m.f * u.f) AS score
+  FROM mf{GD_ROUNDS} m JOIN (SELECT k, f FROM uf{GD_ROUNDS} WHERE id = {TARGET}) u USING (k) GROUP BY m.id)""",
+                              f"""gtop AS (SELECT itemId, score FROM gsc
+  WHERE score > 0 AND itemId NOT IN (SELECT itemId FROM gratings WHERE userId = {TARGET})
+  ORDER BY round(score, 9) DESC, itemId LIMIT {TOP_N})""") +
+        f"""SELECT CAST({TARGET} AS BIGINT) AS userId, itemId,
+  round(least(greatest(score, 0.0), 5.0), 2) AS totalScore FROM gtop""",
         "score_items": with_(REVIEWS, *gd_ctes()) +
         f"""SELECT CAST({TARGET} AS BIGINT) AS userId, mf.id AS itemId,
   round(least(greatest(sum(u.f * mf.f), 0.0), 5.0), 6) AS score

@@ -35,6 +35,7 @@ CAP_PER_USER = 5
 TOP_PER_USER = 5
 PIVOT_ITEMS = 10
 GD = dict(rank=10, lam=0.1, alpha=0.01, seed=42)
+GD_ROUNDS = 10
 REVIEW_KEYS = ["userId", "itemId", "doc_id"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -284,7 +285,7 @@ def q_rating_rmse(spark, d):
 
 
 def q_mf_recommend(spark, d):
-    return fz.mf_recommend(_gd_ratings(spark, d), TARGET, TOP_N, GD["rank"], 10,
+    return fz.mf_recommend(_gd_ratings(spark, d), TARGET, TOP_N, GD["rank"], GD_ROUNDS,
                            GD["lam"], GD["alpha"], GD["seed"])
 
 
