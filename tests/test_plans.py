@@ -31,3 +31,9 @@ def test_target_filter_reaches_scan(spark):
 def test_per_user_limit_before_shuffle(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     assert plan.count("WindowGroupLimit") >= 2  # partial (map side) and final
+
+
+@pytest.mark.parametrize("name", ["user_similarity", "user_knn", "als_recommend"])
+def test_target_filter_reaches_written_ratings(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
+    assert "EqualTo(userId,26)" in plan
