@@ -229,3 +229,13 @@ def test_rating_rmse_train_below_holdout(rand_df):
     train = fz.rating_rmse(rand_df, rank=3, max_iter=5, holdout=False).first()
     assert train.n_test == rand_df.count() and 0 < test.n_test < train.n_test
     assert train.rmse < test.rmse
+
+
+def test_two_hop_and_unseen_build_no_pair_table(monkeypatch, rand_df, rand_rows):
+    """With whole tiles (C = 1) the pair-emitting tile function is never
+    called: only per-item sums leave the tiles."""
+    def no_pairs(*_):
+        raise AssertionError("pair table built")
+    monkeypatch.setattr(nb, "_tile_pairs", no_pairs)
+    assert nb.two_hop_from_ratings(rand_df).count() > 0
+    assert nb.unseen_pair_scores_from_ratings(rand_df, rand_rows[0][0]).count() > 0
