@@ -1 +1 @@
-"""Composed pipelines and the registry of named queries."""
+"""Composed recommenders, the registry of named queries, their oracles."""

@@ -1,4 +1,4 @@
-"""End-to-end pipelines built from the operators."""
+"""Composed recommenders: the hybrid (ALS + user-KNN) and neighbour blends."""
 
 from __future__ import annotations
 

@@ -19,7 +19,7 @@ from reelrank.operators import ratings as ra
 from reelrank.operators import sentiment as se
 from reelrank.operators.blend import blend_recommendations
 from reelrank.operators.rank import minmax_scale, topn_per_user
-from reelrank.plans.pipelines import hybrid_recommendations
+from reelrank.plans.hybrid import hybrid_recommendations
 from reelrank.session import write_table_once
 from reelrank.sources.tables import review_texts, reviews, table
 
