@@ -44,3 +44,14 @@ def test_read_reviews_keeps_corrupt_rows(spark):
     assert len(rows) == 2
     assert rows[0]["_corrupt_record"] is None and rows[1]["_corrupt_record"] is not None
     assert len(read_reviews(spark, path).collect()) == 1
+
+
+def test_write_table_once_sorted_and_filterable(spark):
+    from reelrank.session import write_table_once
+    df = spark.createDataFrame([(3, 1.0), (1, 2.0), (2, 3.0), (1, 4.0)], "userId long, v double")
+    back = write_table_once(df.repartition(2), "t", sort_by=("userId",))
+    assert sorted(back.collect()) == sorted(df.collect())
+    ckpt = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    assert back.inputFiles() and all(ckpt in f.replace("file:", "") for f in back.inputFiles())
+    plan = back.filter("userId = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(userId,1)" in plan
