@@ -26,7 +26,7 @@ def _write_inputs(spark):
 def test_cli_commands(spark):
     d = _write_inputs(spark)
     src = os.path.join(d, "reviews")
-    for cmd in ("user-knn", "item-knn", "als", "hybrid", "two-hop"):
+    for cmd in ("user-knn", "item-knn", "als", "hybrid", "two-hop", "gd"):
         out = os.path.join(d, cmd)
         run(spark, [cmd, "--input", src, "--output", out, "--top", "20"])
         back = spark.read.option("header", True).csv(out)

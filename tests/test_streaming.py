@@ -35,3 +35,19 @@ def test_sentiment_stream_matches_batch(spark):
     texts = docs.select("doc_id", "text")
     want = sorted(review_sentiment(texts, sentence_scores(texts, lex)).collect())
     assert got == want
+
+
+def test_sentiment_stream_restart_writes_nothing_twice(spark):
+    """A restarted query resumes from its checkpoint: files already
+    processed are not scored again, so no rows are duplicated."""
+    docs = table(spark, SF_SMALL, "documents")
+    lex = polarity_lexicon(docs, table(spark, SF_SMALL, "labels"))
+    src = tempfile.mkdtemp(prefix="reelrank-src-")
+    docs.select("doc_id", "text").write.mode("overwrite").parquet(os.path.join(src, "d"))
+    out, ck = tempfile.mkdtemp(prefix="reelrank-out-"), tempfile.mkdtemp(prefix="reelrank-ck-")
+    for _ in range(2):
+        stream = read_text_stream(spark, os.path.join(src, "d"), "doc_id long, text string")
+        sentiment_stream(stream, lex, out, ck).awaitTermination(180)
+    got = spark.read.parquet(out)
+    assert got.count() == docs.count()
+    assert got.select("doc_id").distinct().count() == docs.count()
