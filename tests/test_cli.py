@@ -39,3 +39,5 @@ def test_cli_commands(spark):
     prep = spark.read.option("header", True).csv(os.path.join(d, "prep", "reviews"))
     users = spark.read.option("header", True).csv(os.path.join(d, "prep", "userId_mapping"))
     assert prep.count() > 0 and users.count() > 0
+    idx = sorted(int(r.userId_index) for r in users.collect())
+    assert idx == list(range(len(idx)))  # dense ids 0..n-1
