@@ -34,12 +34,11 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def refine(rows: DataFrame) -> DataFrame:
     """Groups of two or more equal texts: text_sha256, group_size, keep."""
-    sizes = (rows.groupBy("size").agg(F.count("*").alias("n"))
-             .where("n > 1").select("size"))
-    left = rows.join(sizes, "size", "left_semi")
+    sizes = rows.groupBy("size").agg(F.count("*").alias("n")).where("n > 1")
+    left = skew_lookup(rows, sizes, ["size"], "n", ["_row"]).where("n is not null").drop("n")
     prefixes = (left.groupBy("size", "prefix").agg(F.count("*").alias("n"))
-                .where("n > 1").select("size", "prefix"))
-    left = left.join(prefixes, ["size", "prefix"], "left_semi")
+                .where("n > 1"))
+    left = skew_lookup(left, prefixes, ["size", "prefix"], "n", ["_row"]).where("n is not null")
     return (left.groupBy("text_sha256")
             .agg(F.max(F.struct("doc_id", "_row")).alias("keep"),
                  F.count("*").alias("group_size"))

@@ -5,10 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelrank.llm import bpe, exact_dedup, packing, quality_rules
+from reelrank.llm import bpe, exact_dedup, packing, quality_rules, simhash, toxicity
 from reelrank.llm.common import documents
 
 
+SIMHASH_WORDS, SIMHASH_BITS = 3, 2
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -26,6 +29,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       digests=True)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return toxicity.score(docs, model, spans=False).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(documents(spark, sf_dir),
                                   public_tokenizers.path("byte_bpe_50k.json"))
@@ -33,8 +44,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        "sequence_id", "offset")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), SIMHASH_WORDS, SIMHASH_BITS).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_quality_rules, op3_bpe, op5_packing)}
+    op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash)}
 
 _DEDUP_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
