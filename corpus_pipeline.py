@@ -9,9 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelrank.llm import quality_rules
+import public_tokenizers
+from reelrank.llm import packing, quality_rules, simhash, toxicity
 from reelrank.llm.common import documents, written
 from reelrank.llm.exact_dedup import exact_dedup, keep_rows
+from reelrank.llm.queries import SIMHASH_BITS, SIMHASH_WORDS
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.clean_rows(docs, toxicity.train(docs, labels))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,11 +29,25 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_rows(docs, exact_dedup(docs).where("kept"))
 
 
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(docs, SIMHASH_WORDS, SIMHASH_BITS)
+    return keep_rows(docs, simhash.group_heads(found))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32",
+                                       "sequence_id", "offset")
+
+
 STAGES = [
+    ("toxicity", toxicity_stage),
     ("quality rules", quality_stage),
     ("exact dedup", dedup_stage),
+    ("simhash near-dedup", near_dedup_stage),
+    ("best-fit packing", packing_stage),
 ]
-# Tokenization, fingerprints and the trained model have no SQL form.
+# The trained model, fingerprints and token ids have no SQL form.
 ORACLE_SQL = None
 
 

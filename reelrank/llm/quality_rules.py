@@ -46,6 +46,9 @@ def mask(policy: str) -> int:
     return sum(bit(r) for r in POLICIES[policy])
 
 
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_bangs", "n_lines", "n_dup_lines", "n_repeat_words"]
+
+
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus n_words, word_chars, n_symbols, n_bangs, n_lines, n_dup_lines,
     n_repeat_words (all long).
@@ -91,8 +94,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     spans = F.transform(places, lambda p, j: F.least(
         F.lit(_WINDOW), F.coalesce(F.get(places, j + 1) - p, F.lit(_WINDOW))))
     covered = F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s)
-    return out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop(
-        "_words", "_lines", "_hashes", "_keys", "_sorted", "_places")
+    out = out.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long"))
+    # through a generator: a later filter on a measurement is not pushed below
+    # it, where it would repeat the expressions above once per use
+    one = F.struct(*[F.col(c) for c in MEASURES])
+    return out.select(*[F.col(c) for c in docs.columns], F.inline(F.array(one)))
 
 
 def failures() -> Column:
@@ -103,8 +109,6 @@ def failures() -> Column:
     return out.cast("long")
 
 
-MEASURES = ["n_words", "word_chars", "n_symbols", "n_bangs", "n_lines", "n_dup_lines", "n_repeat_words"]
-
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, the measurements, ``failed`` (one bit per rule)."""
