@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelrank.llm import bpe, exact_dedup, packing, quality_rules, simhash, toxicity
+from reelrank.llm import (
+    bpe, exact_dedup, lm, packing, quality_rules, simhash, toxicity, url_filter)
 from reelrank.llm.common import documents
 
 
@@ -49,8 +50,20 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return url_filter.judge(pages, documents(spark, sf_dir))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return lm.score(docs, lm.train(docs)).select(
+        "doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash)}
+    op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash, op8_url_filters, op9_lm_scoring)}
 
 _DEDUP_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
