@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelrank.llm import (
-    bpe, exact_dedup, lm, packing, quality_rules, simhash, toxicity, url_filter)
+    bpe, exact_dedup, licenses, lm, packing, quality_rules, simhash, token_counts, toxicity,
+    url_filter)
 from reelrank.llm.common import documents
 
 
@@ -50,6 +51,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.sentencepiece_vocabulary(
+        public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(documents(spark, sf_dir), vocabulary)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
     return url_filter.judge(pages, documents(spark, sf_dir))
@@ -62,8 +69,13 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash, op8_url_filters, op9_lm_scoring)}
+    op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash, op7_token_counts,
+    op8_url_filters, op9_lm_scoring, op10_licenses)}
 
 _DEDUP_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
