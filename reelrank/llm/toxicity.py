@@ -5,9 +5,9 @@ small learned vocabulary; the document's probability is the noisy-or of its
 sentences (with a leak for labels that no sentence explains). Training uses
 document labels only and yet tells which sentences offend.
 
-Word counts per class cover every labelled training document; the weights
-are fitted to a bounded sample of them (``SAMPLE_DOCS``, by a hash of the
-id), of which only the counts of known words per sentence reach the driver.
+The fit sees a bounded sample of the labelled training documents
+(``SAMPLE_DOCS``, by a hash of the id): their word counts per class choose
+the vocabulary, and the known words of their sentences reach the driver.
 
 Cases: null and empty texts have no sentence and get the leak's score; rows
 with equal or null ids are scored each on their own (null ids are never held
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reelrank.llm.common import written
 
 # Bounds of the fit: labelled documents in the sample, words in the model.
-SAMPLE_DOCS, FEATURES = 20_000, 256
+SAMPLE_DOCS, FEATURES = 40_000, 256
 THRESHOLD = 0.3
 _WORD = re.compile(r"[^\W\d_]+")
 # a sentence: a stretch without . ! ? and line feeds that holds a letter
@@ -161,10 +161,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                           & ~held_out(id_col))
              .groupBy(F.col(id_col).cast("long").alias("_id"))
              .agg(F.max(F.col(label).cast("int")).alias("y")))
+    # a threshold on the id's hash: sample_docs ids, give or take a few
+    # hundred, the same ones in every run; small enough to broadcast
+    cut = int(min(1.0, sample_docs / max(marks.count(), 1)) * 2**62)
+    chosen = marks.where(F.shiftrightunsigned(F.xxhash64("_id"), 2) <= cut)
     labelled = written(
         docs.select(F.col(id_col).cast("long").alias("_id"),
                     F.coalesce(F.col(text), F.lit("")).alias("t"))
-        .join(marks, "_id").select("_id", "y", "t"), "labelled")
+        .join(F.broadcast(chosen), "_id").select("y", "t"), "labelled")
     totals = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = totals.get(1, 0), totals.get(0, 0)
     rate = (n_pos + 0.5) / (n_pos + n_neg + 10.0)
@@ -173,11 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     if not words:
         return constant
     known = {w: i for i, w in enumerate(words)}
-    # a threshold on the id's hash: sample_docs rows of small bags, give or
-    # take a few hundred, the same ones in every run
-    cut = int(min(1.0, sample_docs / (n_pos + n_neg)) * 2**62)
-    chosen = labelled.where(F.shiftrightunsigned(F.xxhash64("_id"), 2) <= cut)
-    bags = chosen.select("y", "t").mapInArrow(
+    bags = labelled.select("y", "t").mapInArrow(
         _bag_task(known), "y int, plain long, bags array<array<int>>").collect()
     y = np.array([r["y"] for r in bags])
     if not len(y) or y.min() == y.max():
