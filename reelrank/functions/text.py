@@ -6,7 +6,10 @@ RE2 (DuckDB, the oracle), so both engines cut texts identically.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, functions as F
+from pyspark.sql import types as T
 
 # The characters Python's str.isspace() treats as whitespace.
 WHITESPACE_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}"
@@ -25,15 +28,10 @@ HTML_DROP = (
     r"</?[A-Za-z][^>]*>",
 )
 
-# Named character references decoded after tags are gone;
-# '&amp;' comes last so '&amp;lt;' becomes '&lt;' and not '<'.
-HTML_ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'),
-    ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&#160;", " "),
-    ("&middot;", "·"), ("&copy;", "©"), ("&reg;", "®"),
-    ("&hellip;", "…"), ("&mdash;", "—"), ("&ndash;", "–"),
-    ("&laquo;", "«"), ("&raquo;", "»"), ("&#38;", "&"), ("&amp;", "&"),
-)
+# A character reference: decimal, hexadecimal or named; without a semicolon
+# only the names that HTML allows bare (the longest of them that fits).
+REFERENCE = r"&(?:#[0-9]{1,8};?|#[xX][0-9A-Fa-f]{1,8};?|[A-Za-z][A-Za-z0-9]{1,31};?)"
+_PARTS = REFERENCE + r"|[^&]+|&"
 
 # Sentences: maximal runs without a sentence end; tokens: runs of letters.
 SENTENCE = r"[^.!?]+"
@@ -44,13 +42,72 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _names() -> dict[str, str]:
+    """Every named reference of HTML 5 (from Python's own table), without
+    the ampersand; bare names end without a semicolon."""
+    from html.entities import html5
+    # a map is searched from its start: short names are the common ones
+    return dict(sorted(html5.items(), key=lambda e: (len(e[0]), e[0])))
+
+
+def _numeric() -> dict[str, str]:
+    """Numbers that HTML 5 does not read as their own code point: 0 and the
+    C1 range, taken as Windows-1252 where that has a character."""
+    out = {"0": "\ufffd"}
+    for n in range(0x80, 0xA0):
+        try:
+            out[str(n)] = bytes([n]).decode("cp1252")
+        except UnicodeDecodeError:
+            pass
+    return out
+
+
+def _constant_map(values: dict[str, str]) -> Column:
+    """A string map as one constant (folded once, not built per row)."""
+    return F.from_json(F.lit(json.dumps(values)), T.MapType(T.StringType(), T.StringType()))
+
+
+def decode_references(c: Column | str) -> Column:
+    """Character references decoded once, in one pass: what a decoded
+    reference leaves is not decoded again. Numbers beyond Unicode and
+    surrogates give U+FFFD; names that HTML does not know stay."""
+    names, numbers = _constant_map(_names()), _constant_map(_numeric())
+    bare = {len(n) for n in _names() if not n.endswith(";")}
+
+    def number(part: Column, digits: Column, base: int) -> Column:
+        code = F.conv(digits, base, 10)
+        n = code.cast("long")
+        char = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        wrong = (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        return F.coalesce(F.try_element_at(numbers, code),
+                          F.when(wrong, F.lit("\ufffd")).otherwise(char))
+
+    def name(part: Column) -> Column:
+        key = F.substring(part, 2, 64)
+        found = F.try_element_at(names, key)
+        for n in sorted(bare, reverse=True):  # the longest bare name that fits
+            head = F.try_element_at(names, F.left(key, F.lit(n)))
+            found = F.coalesce(found, F.concat(head, F.substring(key, n + 1, 64)))
+        return F.coalesce(found, part)
+
+    def one(part: Column) -> Column:
+        digits = F.regexp_replace(F.substring(part, 3, 64), ";$", "")
+        return (F.when(~F.startswith(part, F.lit("&")) | (F.length(part) < 3), part)
+                .when(part.rlike("^&#[xX]"), number(part, F.substring(digits, 2, 64), 16))
+                .when(F.startswith(part, F.lit("&#")), number(part, digits, 10))
+                .otherwise(name(part)))
+
+    text = _col(c)
+    parts = F.regexp_extract_all(text, F.lit(_PARTS), 0)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, one), "")).otherwise(text)
+
+
 def strip_html(c: Column | str) -> Column:
+    """Markup dropped, then character references decoded."""
     out = _col(c)
     for pattern in HTML_DROP:
         out = F.regexp_replace(out, pattern, "")
-    for entity, char in HTML_ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    return decode_references(out)
 
 
 def collapse_whitespace(c: Column | str) -> Column:

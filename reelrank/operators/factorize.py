@@ -11,13 +11,14 @@ from reelrank.operators.prepare import apply_index, index_ids, train_test_split
 from reelrank.operators.rank import top_n
 from reelrank.operators.ratings import exclude_seen
 from reelrank.session import cut_lineage
-from reelrank.sizing import (DEFAULT_BROADCAST_ROWS, bounded_count, broadcast_row_bound,
-                             parallelism)
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, block_count, broadcast_row_bound
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
 # A factor row carries rank doubles (~100 bytes at rank 10): a tighter
 # broadcast bound than for key-only tables.
 FACTOR_BROADCAST_ROWS = 500_000
+# Ratings per ALS block.
+ALS_BLOCK_ROWS = 100_000
 REC_SCHEMA = "userId long, itemId long, totalScore double"
 
 
@@ -30,7 +31,7 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     from pyspark.ml.recommendation import ALS
 
     spark = ratings.sparkSession
-    blocks = blocks or max(1, min(parallelism(spark), 200))
+    blocks = blocks or block_count(ratings.count(), ALS_BLOCK_ROWS)
     data = ratings.select(F.col(USER).cast("int").alias(USER),
                           F.col(ITEM).cast("int").alias(ITEM),
                           F.col(RATING).cast("float").alias(RATING))
@@ -185,14 +186,12 @@ def mf_gradient(ratings: DataFrame, rank: int = 10, iterations: int = 10,
     The ratings and each round's factors are checkpointed to the shared
     checkpoint folder, so the plan stays one round deep and a lost
     executor recomputes at most one round. Factor sides are broadcast
-    only when a bounded count shows them small."""
+    only when a count shows them small."""
     ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
     U = mf_init(ratings, USER, rank, seed)
     M = mf_init(ratings, ITEM, rank, seed)
-    bound_u = broadcast_row_bound(U, FACTOR_BROADCAST_ROWS)
-    bound_m = broadcast_row_bound(M, FACTOR_BROADCAST_ROWS)
-    small_u = bounded_count(U, bound_u) <= bound_u
-    small_m = bounded_count(M, bound_m) <= bound_m
+    small_u = U.count() <= broadcast_row_bound(U, FACTOR_BROADCAST_ROWS, array_len=rank)
+    small_m = M.count() <= broadcast_row_bound(M, FACTOR_BROADCAST_ROWS, array_len=rank)
     factors = cut_lineage(stack_factors(U, M))
     for _ in range(iterations):
         factors = cut_lineage(mf_step(factors, ratings, rank, lam, alpha, small_u, small_m))

@@ -29,23 +29,16 @@ def topn_per_user(df: DataFrame, n: int, score: str = "totalScore",
             .filter(F.col(rank_col) <= n))
 
 
-def score_range(df: DataFrame, score: str):
-    """(min, max) of a score column: a one-row aggregate."""
-    row = df.agg(F.min(score).alias("lo"), F.max(score).alias("hi")).first()
-    return row["lo"], row["hi"]
-
-
 def minmax_scale(df: DataFrame, score: str, upper: float = 10.0, cap: float = 10.0,
                  constant: float = 5.0, out: str = "NormalizedScore") -> DataFrame:
     """least(bround(upper * (x - min) / (max - min), 2), cap); every row
     gets ``constant`` when all scores are equal. The scores (one row per
-    item) are written once to the checkpoint folder; min and max are a
-    one-row aggregate over that copy, so the scoring plan runs once."""
+    item) are written once to the checkpoint folder; min and max are scalar
+    subqueries over that copy, so the scoring plan runs once and nothing
+    reaches the driver."""
     df = cut_lineage(df)
-    lo, hi = score_range(df, score)
-    if lo is None:
-        return df.withColumn(out, F.lit(None).cast("double"))
-    if lo == hi:
-        return df.withColumn(out, F.lit(float(constant)))
-    scaled = F.lit(float(upper)) * (F.col(score) - F.lit(float(lo))) / F.lit(float(hi) - float(lo))
-    return df.withColumn(out, F.least(F.bround(scaled, 2), F.lit(float(cap))))
+    lo = df.select(F.min(score)).scalar()
+    hi = df.select(F.max(score)).scalar()
+    scaled = F.lit(float(upper)) * (F.col(score) - lo) / F.nullif(hi - lo, F.lit(0.0))
+    return df.withColumn(out, F.when(lo == hi, F.lit(float(constant)))
+                         .otherwise(F.least(F.bround(scaled, 2), F.lit(float(cap)))))

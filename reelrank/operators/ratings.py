@@ -53,9 +53,9 @@ def seen_items(ratings: DataFrame, users: Sequence[int] | None = None) -> DataFr
 
 
 def seen_report(ratings: DataFrame) -> DataFrame:
-    """Per user: how many distinct items were rated (a bounded report;
+    """Per user of one-row-per-pair ratings: how many items were rated (a bounded report;
     the item lists themselves stay in long form)."""
-    return ratings.groupBy(USER).agg(F.count_distinct(ITEM).alias("n_seen"))
+    return ratings.groupBy(USER).agg(F.count(ITEM).alias("n_seen"))
 
 
 def exclude_seen(candidates: DataFrame, seen: DataFrame,

@@ -21,6 +21,7 @@ from reelrank.operators import sentiment as se
 from reelrank.operators.blend import blend_recommendations
 from reelrank.operators.ratings import user_item_ratings
 from reelrank.session import apply_plan_conf, cut_lineage, ensure_checkpoint_dir
+from reelrank.sources.csv import csv_columns, read_reviews
 from reelrank.sources.sinks import write_recommendations, write_table
 
 # Raw review columns the preparation step drops.
@@ -28,10 +29,14 @@ RAW_DROP = ("isVerified", "isSuperReviewer", "hasSpoilers", "hasProfanity",
             "userRealm", "reviewId", "score", "userDisplayName")
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Header CSV, every column a string (types are set by name later)."""
-    return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", multiline).csv(path))
+def load(spark: SparkSession, a, path: str | None = None) -> DataFrame:
+    """All columns of a CSV by name; lines that do not parse are written
+    under ``<output>_rejects/lines``."""
+    path = path or a.input
+    names = tuple(csv_columns(spark, path))
+    rows, bad = read_reviews(spark, path, names, multiline=a.multiline)
+    write_table(bad, f"{a.output}_rejects/lines", fmt="csv")
+    return rows
 
 
 def to_reviews(df: DataFrame) -> DataFrame:
@@ -44,15 +49,18 @@ def to_reviews(df: DataFrame) -> DataFrame:
                      sentiment.alias("sentimentResult"))
 
 
-def _ratings(df: DataFrame, blend: float) -> DataFrame:
-    return cut_lineage(user_item_ratings(to_reviews(df).dropna(subset=["userId", "itemId", "rating"]),
-                                         weight=blend))
+def _ratings(spark, a, clamp: bool = False) -> DataFrame:
+    """Ratings of the rows whose ids and rating are numbers; the others are
+    written under ``<output>_rejects/values`` (one rule for all commands)."""
+    valid, bad = pr.split_valid_rows(to_reviews(load(spark, a)), ["userId", "itemId", "rating"])
+    write_table(bad, f"{a.output}_rejects/values", fmt="csv")
+    return cut_lineage(user_item_ratings(valid, weight=a.blend, clamp=clamp))
 
 
 def cmd_prepare(spark, a) -> None:
     """Drop unused columns, sample a seeded fraction, map ids to dense
     integers (mappings written next to the data), clean the quote text."""
-    df = read_csv(spark, a.input)
+    df = load(spark, a)
     df = df.drop(*[c for c in RAW_DROP if c in df.columns])
     df = pr.sample_fraction(df.withColumn("_k", F.xxhash64(*df.columns)), a.fraction, ["_k"], a.seed).drop("_k")
     df = cut_lineage(df)
@@ -68,46 +76,48 @@ def cmd_prepare(spark, a) -> None:
 def cmd_sentiment(spark, a) -> None:
     """Score each distinct quote once (lexicon trained on --labelled, a CSV
     of text, quality 0/1) and write reviews with sentimentResult."""
-    df = read_csv(spark, a.input)
-    lab = read_csv(spark, a.labelled).select(
-        F.xxhash64("text").alias("doc_id"), "text",
+    df = load(spark, a)
+    lab = load(spark, a, a.labelled).select(
+        F.sha2("text", 256).alias("doc_id"), "text",
         F.expr("try_cast(quality AS INT)").alias("quality"))
     lexicon = cut_lineage(se.polarity_lexicon(lab.select("doc_id", "text"), lab.select("doc_id", "quality")))
-    texts = df.select(F.xxhash64("quote").alias("doc_id"), F.col("quote").alias("text")).dropDuplicates(["doc_id"])
+    # a text is known by its SHA-256 (its 64-bit hash alone would let texts collide)
+    key = F.sha2(F.coalesce("quote", F.lit("")), 256)
+    texts = df.select(key.alias("doc_id"), F.col("quote").alias("text")).dropDuplicates(["doc_id"])
     scores = se.review_sentiment(texts, se.sentence_scores(texts, lexicon))
-    out = (df.drop("sentimentResult").withColumn("doc_id", F.xxhash64("quote"))
+    out = (df.drop("sentimentResult").withColumn("doc_id", key)
            .join(scores.select("doc_id", F.col("sentiment").alias("sentimentResult")), "doc_id", "left")
            .drop("doc_id", "quote"))
     write_table(out, a.output, fmt="csv")
 
 
 def cmd_als(spark, a) -> None:
-    write_recommendations(fz.als_recommend(_ratings(read_csv(spark, a.input), a.blend),
+    write_recommendations(fz.als_recommend(_ratings(spark, a),
                                            a.user, a.top, seed=a.seed), a.output, single_file=True)
 
 
 def cmd_user_knn(spark, a) -> None:
-    write_recommendations(nb.user_knn(_ratings(read_csv(spark, a.input), a.blend), a.user, a.top),
+    write_recommendations(nb.user_knn(_ratings(spark, a), a.user, a.top),
                           a.output, single_file=True)
 
 
 def cmd_item_knn(spark, a) -> None:
-    write_recommendations(nb.item_knn(_ratings(read_csv(spark, a.input), a.blend), a.user, a.top),
+    write_recommendations(nb.item_knn(_ratings(spark, a), a.user, a.top),
                           a.output, single_file=True)
 
 
 def cmd_two_hop(spark, a) -> None:
-    out = nb.two_hop_scores_from_ratings(_ratings(read_csv(spark, a.input), a.blend))
+    out = nb.two_hop_scores_from_ratings(_ratings(spark, a))
     write_table(out.select(F.col("itemId").alias("movieId1"), "NormalizedScore"), a.output, fmt="csv")
 
 
 def cmd_gd(spark, a) -> None:
-    ratings = cut_lineage(user_item_ratings(to_reviews(read_csv(spark, a.input)), weight=a.blend, clamp=True))
+    ratings = _ratings(spark, a, clamp=True)
     write_recommendations(fz.mf_recommend(ratings, a.user, a.top, seed=a.seed), a.output, single_file=True)
 
 
 def cmd_hybrid(spark, a) -> None:
-    ratings = _ratings(read_csv(spark, a.input), a.blend)
+    ratings = _ratings(spark, a)
     out = blend_recommendations(fz.als_recommend(ratings, a.user, a.top, seed=a.seed),
                                 nb.user_knn(ratings, a.user, a.top))
     write_recommendations(out, a.output)
@@ -129,6 +139,8 @@ def parser() -> argparse.ArgumentParser:
                    help="weight of the rating against sentimentResult (1 = rating only)")
     p.add_argument("--fraction", type=float, default=0.4)
     p.add_argument("--seed", type=int, default=42)
+    p.add_argument("--multiline", action="store_true",
+                   help="fields may hold quoted line breaks (each file is then one task)")
     p.add_argument("--labelled", help="CSV of text, quality for the sentiment lexicon")
     return p
 

@@ -8,10 +8,9 @@ queries round them; ranking compares scores at 9 decimals, then ids.
 from __future__ import annotations
 
 from reelrank.functions.hashing import unit_hash_sql
-from reelrank.functions.text import (HTML_DROP, HTML_ENTITIES, NON_ASCII, SENTENCE, TOKEN,
-                                     WHITESPACE_CLASS)
+from reelrank.functions.text import SENTENCE, TOKEN
 from reelrank.operators.sentiment import CUTS
-from reelrank.plans.queries import (CAP_PER_USER, GD, GD_ROUNDS, PIVOT_ITEMS, REVIEW_KEYS,
+from reelrank.plans.queries import (CAP_PER_USER, GD, GD_ROUNDS, MIN_SIMILARITY, PIVOT_ITEMS, REVIEW_KEYS,
                                     SAMPLE_FRACTION, SAMPLE_ROWS, SEED, TARGET, TOP_N, TOP_PER_USER)
 
 
@@ -34,7 +33,7 @@ RATINGS = """ratings AS (
 BRATINGS = """bratings AS (
   SELECT userId, itemId, avg(rating * 0.5 + sentimentResult * 0.5) AS rating
   FROM reviews GROUP BY userId, itemId)"""
-GRATINGS = """gratings AS (
+GRATINGS = """gratings AS MATERIALIZED (
   SELECT userId, itemId,
          avg(least(greatest(rating, 0.0), 5.0) * 0.5
              + least(greatest(sentimentResult, 0.0), 5.0) * 0.5) AS rating
@@ -96,15 +95,35 @@ def item_knn_ctes() -> list[str]:
     ]
 
 
-def clean_text_sql(col: str) -> str:
+# Written out here, not taken from functions/text.py: what the pages hold.
+_MARKUP = (r"(?s)<!--.*?-->", r"(?is)<(script|style|template)\b[^>]*>.*?</(script|style|template)\s*>",
+           r"<[!?][^>]*>", r"</?[A-Za-z][^>]*>")
+_PAGE_REFERENCES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+    ("&nbsp;", " "), ("&#160;", " "), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
+    ("&hellip;", "\u2026"), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"), ("&laquo;", "\u00ab"),
+    ("&raquo;", "\u00bb"), ("&amp;", "&"))
+
+
+def stripped_sql(col: str) -> str:
+    """Tags gone, the pages' references decoded (the ampersand last)."""
     out = col
-    for pattern in HTML_DROP:
+    for pattern in _MARKUP:
         out = f"regexp_replace({out}, {lit(pattern)}, '', 'g')"
-    for entity, char in HTML_ENTITIES:
+    for entity, char in _PAGE_REFERENCES:
         out = f"replace({out}, {lit(entity)}, {lit(char)})"
-    out = f"trim(regexp_replace({out}, {lit(WHITESPACE_CLASS)}, ' ', 'g'))"
-    out = f"replace({out}, '\"', '')"
-    return f"regexp_replace({out}, {lit(NON_ASCII)}, '', 'g')"
+    return out
+
+
+def tidied_sql(col: str) -> str:
+    space = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+             r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+")
+    out = f"trim(regexp_replace({col}, {lit(space)}, ' ', 'g'))"
+    return f"regexp_replace(replace({out}, '\"', ''), '[^\\x00-\\x7F]+', '', 'g')"
+
+
+def clean_text_sql(col: str) -> str:
+    return tidied_sql(stripped_sql(col))
 
 
 def lexicon_ctes() -> list[str]:
@@ -157,14 +176,14 @@ def gd_ctes() -> list[str]:
     rank, seed = GD["rank"], GD["seed"]
     return [
         GRATINGS,
-        f"""uf AS (SELECT u.userId AS id, t.k, {unit_hash_sql(['u.userId', 't.k'], seed)} AS f
+        f"""uf AS MATERIALIZED (SELECT u.userId AS id, t.k, {unit_hash_sql(['u.userId', 't.k'], seed)} AS f
   FROM (SELECT DISTINCT userId FROM gratings) u, range({rank}) t(k))""",
-        f"""mf AS (SELECT i.itemId AS id, t.k, {unit_hash_sql(['i.itemId', 't.k'], seed + 7919)} AS f
+        f"""mf AS MATERIALIZED (SELECT i.itemId AS id, t.k, {unit_hash_sql(['i.itemId', 't.k'], seed + 7919)} AS f
   FROM (SELECT DISTINCT itemId FROM gratings) i, range({rank}) t(k))""",
-        """pred AS (SELECT r.userId, r.itemId, r.rating, sum(uf.f * mf.f) AS dot
+        """pred AS MATERIALIZED (SELECT r.userId, r.itemId, r.rating, sum(uf.f * mf.f) AS dot
   FROM gratings r JOIN uf ON uf.id = r.userId JOIN mf ON mf.id = r.itemId AND mf.k = uf.k
   GROUP BY r.userId, r.itemId, r.rating)""",
-        "err AS (SELECT userId, itemId, rating - dot AS e FROM pred)",
+        "err AS MATERIALIZED (SELECT userId, itemId, rating - dot AS e FROM pred)",
     ]
 
 
@@ -176,7 +195,7 @@ def gd_rounds_ctes(rounds: int) -> list[str]:
     for t in range(rounds):
         n = t + 1
         ctes += [
-            f"""e{t} AS (SELECT r.userId, r.itemId, r.rating - sum(u.f * m.f) AS e
+            f"""e{t} AS MATERIALIZED (SELECT r.userId, r.itemId, r.rating - sum(u.f * m.f) AS e
   FROM gratings r JOIN uf{t} u ON u.id = r.userId JOIN mf{t} m ON m.id = r.itemId AND m.k = u.k
   GROUP BY r.userId, r.itemId, r.rating)""",
             f"""ug{t} AS (SELECT p.userId AS id, u.k, avg(-2.0 * p.e * m.f + {lam2} * u.f) AS g
@@ -185,9 +204,9 @@ def gd_rounds_ctes(rounds: int) -> list[str]:
             f"""mg{t} AS (SELECT p.itemId AS id, m.k, avg(-2.0 * p.e * u.f + {lam2} * m.f) AS g
   FROM e{t} p JOIN uf{t} u ON u.id = p.userId JOIN mf{t} m ON m.id = p.itemId AND m.k = u.k
   GROUP BY p.itemId, m.k)""",
-            f"""uf{n} AS (SELECT u.id, u.k, u.f - {alpha} * g.g AS f
+            f"""uf{n} AS MATERIALIZED (SELECT u.id, u.k, u.f - {alpha} * g.g AS f
   FROM uf{t} u JOIN ug{t} g ON g.id = u.id AND g.k = u.k)""",
-            f"""mf{n} AS (SELECT m.id, m.k, m.f - {alpha} * g.g AS f
+            f"""mf{n} AS MATERIALIZED (SELECT m.id, m.k, m.f - {alpha} * g.g AS f
   FROM mf{t} m JOIN mg{t} g ON g.id = m.id AND g.k = m.k)""",
         ]
     return ctes
@@ -266,6 +285,26 @@ FROM (SELECT itemId, count(*) AS n FROM reviews GROUP BY itemId)""",
   doc_id, creationDate LIMIT {SAMPLE_ROWS}""",
         "train_test_split": with_(REVIEWS, RATINGS) +
         f"SELECT *, CASE WHEN {h_split} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ratings",
+        "clean_text_entities": f"""SELECT page_id, {tidied_sql(
+            "'caf\u00e9 ' || chr((97 + page_id % 26)::INT) || chr((65 + page_id % 26)::INT) || ' &amp; &nosuch; \u00a9 \u2019<b> ' || "
+            + stripped_sql("coalesce(html, '')"))} AS text FROM pages""",
+        "split_rejected_rows": """WITH e AS (SELECT * REPLACE (
+    CASE event_id % 50 WHEN 0 THEN NULL WHEN 1 THEN 'nan'::DOUBLE WHEN 2 THEN 'inf'::DOUBLE
+      WHEN 3 THEN '-inf'::DOUBLE ELSE value END AS value,
+    CASE WHEN event_id % 97 = 5 THEN NULL ELSE user_id END AS user_id) FROM events)
+SELECT event_id, user_id, CASE WHEN event_id IS NOT NULL AND ts IS NOT NULL AND user_id IS NOT NULL
+  AND event_type IS NOT NULL AND props IS NOT NULL AND value IS NOT NULL AND NOT isnan(value) AND NOT isinf(value)
+  THEN 'valid' ELSE 'rejected' END AS part FROM e""",
+        "csv_roundtrip": with_(REVIEWS, TREVIEWS) +
+        """SELECT userId, itemId, rating, creationDate,
+  'said "no", ' || doc_id || ', then "yes"' AS quote FROM treviews""",
+        "csv_rejects": """SELECT CASE WHEN o_orderkey % 10 IN (3, 7) THEN 'reject' ELSE 'row' END AS kind,
+  o_orderkey || ',' || o_custkey || CASE WHEN o_orderkey % 10 = 7 THEN '' ELSE ',4.5' END
+  || CASE WHEN o_orderkey % 10 = 3 THEN ',more' ELSE '' END AS line FROM orders""",
+        "seen_pairs": "SELECT DISTINCT o_custkey AS userId, l_partkey AS itemId"
+                      " FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+        "item_similarity_min": with_(REVIEWS, RATINGS, *pair_ctes("ratings", "r")) +
+        f"SELECT item1, item2, round(similarity, 6) AS similarity FROM rpairs WHERE similarity >= {MIN_SIMILARITY}",
         "clean_text": f"SELECT page_id, {clean_text_sql('html')} AS text FROM pages",
         "polarity_lexicon": with_(*lexicon_ctes()) +
         "SELECT token, df1, df0, round(polarity, 9) AS polarity FROM lex",

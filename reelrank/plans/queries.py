@@ -7,6 +7,7 @@ rate 0.01).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -20,7 +21,9 @@ from reelrank.operators import sentiment as se
 from reelrank.operators.blend import blend_recommendations
 from reelrank.operators.rank import minmax_scale, topn_per_user
 from reelrank.plans.hybrid import hybrid_recommendations
-from reelrank.session import write_table_once
+from reelrank.session import ensure_checkpoint_dir, write_table_once
+from reelrank.sources.csv import read_reviews
+from reelrank.sources.sinks import write_table
 from reelrank.sources.tables import review_texts, reviews, table
 
 # The reference's job parameters (target user, list length,
@@ -34,6 +37,7 @@ SAMPLE_ROWS = 10_000
 CAP_PER_USER = 5
 TOP_PER_USER = 5
 PIVOT_ITEMS = 10
+MIN_SIMILARITY = 0.05
 GD = dict(rank=10, lam=0.1, alpha=0.01, seed=42)
 GD_ROUNDS = 10
 REVIEW_KEYS = ["userId", "itemId", "doc_id"]
@@ -179,6 +183,74 @@ def q_split_valid_rows(spark, d):
             .unionByName(rejected.withColumn("part", F.lit("rejected"))))
 
 
+def q_split_rejected_rows(spark, d):
+    """The split over all six columns, on events with nulls, NaN and both
+    infinities put in by id."""
+    ev = table(spark, d, "events")
+    k = F.col("event_id")
+    ev = ev.withColumns({
+        "value": F.when(k % 50 == 0, F.lit(None)).when(k % 50 == 1, F.lit(float("nan")))
+        .when(k % 50 == 2, F.lit(float("inf"))).when(k % 50 == 3, F.lit(float("-inf")))
+        .otherwise(F.col("value")),
+        "user_id": F.when(k % 97 == 5, F.lit(None)).otherwise(F.col("user_id"))})
+    valid, rejected = pr.split_valid_rows(ev)
+    one = lambda df, part: df.select("event_id", "user_id", F.lit(part).alias("part"))
+    return one(valid, "valid").unionByName(one(rejected, "rejected"))
+
+
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/csv/{name}-{uuid.uuid4().hex}"
+
+
+def q_csv_roundtrip(spark, d):
+    """Reviews written as CSV with the columns in another order and read by
+    name: texts hold commas and quotes."""
+    r = _typed_reviews(spark, d).withColumn(
+        "quote", F.concat(F.lit('said "no", '), F.col("doc_id").cast("string"), F.lit(', then "yes"')))
+    path = _scratch(spark, "reviews")
+    write_table(r.select("quote", F.col("userId"), "creationDate", F.col("itemId").alias("movieId"),
+                         "rating"), path, fmt="csv")
+    rows, _ = read_reviews(spark, path)
+    return rows.select(F.col("userId").cast("long").alias("userId"),
+                       F.col("movieId").cast("long").alias("itemId"),
+                       F.col("rating").cast("double").alias("rating"), "quote", "creationDate")
+
+
+def q_csv_rejects(spark, d):
+    """Lines without a header, every tenth with a field too many and every
+    tenth with one too few: parsed rows and rejected lines, none lost."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    line = F.concat_ws(",", k, F.col("o_custkey"), F.when(k % 10 != 7, F.lit("4.5")),
+                       F.when(k % 10 == 3, F.lit("more")))
+    path = _scratch(spark, "lines")
+    o.select(line.alias("value")).write.text(path)
+    names = ("movieId", "userId", "rating")
+    rows, bad = read_reviews(spark, path, names, names=names)
+    return (rows.select(F.lit("row").alias("kind"), F.concat_ws(",", *names).alias("line"))
+            .unionByName(bad.select(F.lit("reject").alias("kind"), "line")))
+
+
+def q_item_similarity_min(spark, d):
+    return (nb.item_similarity(_ratings(spark, d, reuse=True), min_similarity=MIN_SIMILARITY)
+            .select("item1", "item2", _r("similarity")))
+
+
+def q_clean_text_entities(spark, d):
+    """``clean_text`` over pages that begin with named, decimal, hexadecimal,
+    doubly escaped, bare and unknown references."""
+    pages = table(spark, d, "pages")
+    n = F.col("page_id") % 26
+    head = F.concat(F.lit("caf&eacute; &#"), (n + 97).cast("string"), F.lit(";&#x"), F.hex(n + 65),
+                    F.lit("; &#38;amp; &nosuch; &copy &rsquo;&lt;b&gt; "))
+    return pages.select("page_id", clean_text(F.concat(head, F.coalesce("html", F.lit("")))).alias("text"))
+
+
+def q_seen_pairs(spark, d):
+    """Every (user, item) that a user has rated, as rows."""
+    return ra.seen_items(_ratings(spark, d))
+
+
 def q_index_ids(spark, d):
     return pr.index_ids(_ratings(spark, d), "userId", method="sorted")
 
@@ -310,6 +382,12 @@ QUERIES: dict[str, Query] = {
     "dedupe_pairs": q_dedupe_pairs,
     "cap_per_user": q_cap_per_user,
     "split_valid_rows": q_split_valid_rows,
+    "split_rejected_rows": q_split_rejected_rows,
+    "csv_roundtrip": q_csv_roundtrip,
+    "csv_rejects": q_csv_rejects,
+    "item_similarity_min": q_item_similarity_min,
+    "clean_text_entities": q_clean_text_entities,
+    "seen_pairs": q_seen_pairs,
     "index_ids": q_index_ids,
     "index_ids_frequency": q_index_ids_frequency,
     "sample_fraction": q_sample_fraction,

@@ -44,12 +44,33 @@ def local_session(cpus: int = 8, partitions: int | None = None,
     return spark
 
 
+def is_one_machine(spark: SparkSession) -> bool:
+    """True for ``local`` and ``local[n]``: driver and tasks are one process.
+    ``local-cluster[...]`` has executors of its own and is a cluster here."""
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # noqa: BLE001 - Spark Connect client
+        return False
+    return master == "local" or master.startswith("local[")
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application left in its checkpoint folder
+    (checkpoints and written tables). The caller decides when: results that
+    still read them must have been written elsewhere."""
+    folder = spark.sparkContext.getCheckpointDir()
+    if folder:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is read from the session.
-    Only local runs (tests, bench, the driver smoke check) may fall back
-    to a fresh temporary folder, and only when nothing is configured.
+    Only runs in one process (tests, bench, the driver's smoke check) may
+    fall back to a fresh temporary folder, when nothing is configured.
     """
     try:
         sc = spark.sparkContext
@@ -63,7 +84,7 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not allow_local or not sc.master.startswith("local"):
+    if not allow_local or not is_one_machine(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for it")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="reelrank-ckpt-"))
@@ -73,10 +94,7 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
 def cut_lineage(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared checkpoint folder (eager)."""
     spark = spark or df.sparkSession
-    try:
-        local = spark.sparkContext.master.startswith("local")
-    except Exception:  # noqa: BLE001 - Spark Connect client
-        local = False
+    local = is_one_machine(spark)
     ensure_checkpoint_dir(spark, allow_local=local)
     return df.checkpoint(eager=True)
 
@@ -87,10 +105,7 @@ def write_table_once(df, name: str, sort_by: tuple[str, ...] = ()):
     statistics: filters reach its scan, and with ``sort_by`` each file is
     sorted so row groups can be skipped by min/max (no extra shuffle)."""
     spark = df.sparkSession
-    try:
-        local = spark.sparkContext.master.startswith("local")
-    except Exception:  # noqa: BLE001 - Spark Connect client
-        local = False
+    local = is_one_machine(spark)
     base = ensure_checkpoint_dir(spark, allow_local=local)
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")

@@ -1,6 +1,6 @@
 """Size checks that decide broadcasts and block counts.
 
-A side is broadcast only after a bounded count proves it small; beyond
+A side is broadcast only after a count proves it small; beyond
 the bound the plan keeps a shuffle join (AQE may still split skew).
 """
 
@@ -19,15 +19,16 @@ DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 _ARRAY_LEN = 10
 
 
-def row_bytes(dtype: T.DataType) -> int:
+def row_bytes(dtype: T.DataType, array_len: int = _ARRAY_LEN) -> int:
     """A fixed estimate of a value's in-memory width (strings 32 bytes,
-    arrays of 10 elements); ``broadcast_row_bound`` adds 8 bytes per row."""
+    arrays of ``array_len`` elements); ``broadcast_row_bound`` adds 8 bytes
+    per row."""
     if isinstance(dtype, T.StructType):
-        return sum(row_bytes(f.dataType) for f in dtype.fields)
+        return sum(row_bytes(f.dataType, array_len) for f in dtype.fields)
     if isinstance(dtype, T.ArrayType):
-        return 16 + _ARRAY_LEN * row_bytes(dtype.elementType)
+        return 16 + array_len * row_bytes(dtype.elementType, array_len)
     if isinstance(dtype, T.MapType):
-        return 16 + _ARRAY_LEN * (row_bytes(dtype.keyType) + row_bytes(dtype.valueType))
+        return 16 + array_len * (row_bytes(dtype.keyType) + row_bytes(dtype.valueType))
     if isinstance(dtype, (T.StringType, T.BinaryType)):
         return 32
     if isinstance(dtype, (T.ByteType, T.BooleanType)):
@@ -42,18 +43,15 @@ def row_bytes(dtype: T.DataType) -> int:
 
 
 def broadcast_row_bound(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                        max_bytes: int = DEFAULT_BROADCAST_BYTES) -> int:
-    return max(1, min(max_rows, max_bytes // (8 + row_bytes(df.schema))))
-
-
-def bounded_count(df: DataFrame, bound: int) -> int:
-    """Count rows, stopping once ``bound + 1`` rows are seen."""
-    return df.limit(bound + 1).count()
+                        max_bytes: int = DEFAULT_BROADCAST_BYTES,
+                        array_len: int = _ARRAY_LEN) -> int:
+    return max(1, min(max_rows, max_bytes // (8 + row_bytes(df.schema, array_len))))
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                     materialize: bool = False) -> DataFrame:
-    """``broadcast(df)`` if a bounded count shows at most
+    """``broadcast(df)`` if a count (one partial sum per partition, no rows
+    moved) shows at most
     ``broadcast_row_bound`` rows (``max_rows`` and the byte budget over
     the estimated row width), else ``df`` (a shuffle join; AQE may still
     broadcast it or split a skewed key at run time).
@@ -64,8 +62,7 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     if materialize:
         from reelrank.session import cut_lineage
         df = cut_lineage(df)
-    bound = broadcast_row_bound(df, max_rows)
-    if bounded_count(df, bound) <= bound:
+    if df.count() <= broadcast_row_bound(df, max_rows):
         return F.broadcast(df)
     return df
 

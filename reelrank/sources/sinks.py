@@ -15,7 +15,7 @@ def write_recommendations(df: DataFrame, path: str, mode: str = "overwrite",
                     *[c for c in df.columns if c not in RECOMMENDATION_COLUMNS])
     if single_file:
         out = out.coalesce(1)
-    out.write.option("header", True).mode(mode).csv(path)
+    out.write.option("header", True).option("escape", '"').mode(mode).csv(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -25,6 +25,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.option("header", True).option("escape", '"').csv(path)
     else:
         writer.format(fmt).save(path)

@@ -10,43 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelrank.sizing import parallelism
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
 
-# Key each table is spread by when its scan is too coarse (see ``table``).
-SPREAD_KEYS = {
-    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
-    "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
-    "lineitem": "l_orderkey", "events": "event_id", "documents": "doc_id",
-    "embeddings": "vec_id", "pages": "page_id", "benchmark": "item_id",
-    "labels": "doc_id", "conversations": "conv_id",
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table. A scan cannot split inside a row group, so a file
-    written as one large row group is read by one task; when the scan
-    yields fewer partitions than the cluster has cores, rows are
-    hash-spread on the table key (deterministic on retry). On large
-    inputs the scan already has many partitions and this is a no-op.
-    Filters and column pruning still reach the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = parallelism(spark)
-    key = SPREAD_KEYS.get(name)
-    if key and key in df.columns and _scan_partitions(df, cores) < cores:
-        df = df.repartition(cores, key)
-    return df
-
-
-def _scan_partitions(df: DataFrame, default: int) -> int:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view on this client
-        return default
+    """Parquet table; filters and column pruning reach the scan, whose
+    splits are for ``spark.sql.files.maxPartitionBytes`` to size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:

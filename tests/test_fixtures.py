@@ -110,6 +110,25 @@ def test_clean_text(spark):
     assert out == ["a b", "x  y", None, "", "T&lt; x"]
 
 
+@pytest.mark.parametrize("html,expected", [
+    ("caf&eacute; it&#8217;s &#x27;ok&#x27; &#33; &#38;amp; &rsquo;", "caf its 'ok' ! &amp; "),
+    ("&amp;lt; &amp;amp;", "&lt; &amp;"),
+    ("&copy 2020 &notit; &nosuch; & &#; &#x;", " 2020 it; &nosuch; & &#; &#x;"),
+    ("a&#0;b&#128;c&#xD800;d&#1114112;e&#65f&#x41g", "abcdeAfAg"),
+    ("&lt&gt &AMP;&ampx", "<> &&x"),
+])
+def test_character_references(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(clean_text("h").alias("c")).first().c == expected
+
+
+def test_tile_plan_follows_the_data_alone():
+    from reelrank.operators import neighbours as nb
+    assert nb._block_counts(58_000, 2_000, 2048, 1_000_000) == (8, 1)
+    assert nb._block_counts(10**10, 10**6, 2048, 1_000_000) == (489, 21)
+    assert nb._block_counts(5, 3, 2048, 1_000_000) == (3, 1)
+
+
 def test_split_valid_rows(spark):
     df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, float("inf")), (4, None)],
                                "id int, v double")

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from reelrank.sources.csv import read_reviews
 from reelrank.sources.sinks import write_recommendations, write_table
 from reelrank.operators.ratings import prepare_reviews
@@ -16,7 +18,7 @@ def test_read_reviews_quoted_and_multiline(spark):
         f.write('10,4.5,"good, really",2020-01-01,7\n')
         f.write('11,3,"two\nlines",2020-01-02,8\n')
         f.write('12,x,"bad rating",2020-01-03,9\n')
-    df = read_reviews(spark, path, multiline=True)
+    df, _ = read_reviews(spark, path, multiline=True)
     rows = df.collect()
     assert len(rows) == 3 and rows[0].quote == "good, really" and rows[1].quote == "two\nlines"
     typed = prepare_reviews(df, user="userId", item="movieId").collect()
@@ -33,17 +35,31 @@ def test_write_and_read_back(spark):
     assert spark.read.parquet(os.path.join(d, "tbl")).collect() == df.collect()
 
 
-def test_read_reviews_keeps_corrupt_rows(spark):
+def test_read_reviews_by_name_with_rejects(spark):
     d = tempfile.mkdtemp(prefix="reelrank-io-")
     path = os.path.join(d, "raw.csv")
     with open(path, "w") as f:
-        f.write('movieId,rating,quote,creationDate,userId\n')
-        f.write('10,4.5,"fine",2020-01-01,7\n')
-        f.write('11,3,"too",many,fields,here,8\n')
-    rows = read_reviews(spark, path, keep_corrupt=True).collect()
-    assert len(rows) == 2
-    assert rows[0]["_corrupt_record"] is None and rows[1]["_corrupt_record"] is not None
-    assert len(read_reviews(spark, path).collect()) == 1
+        f.write('userId,movieId,rating,quote,creationDate,extra\n')
+        f.write('7,100,5,good,2020-01-01,x\n')
+        f.write('8,11,3,too,many,fields,here,8\n')
+        f.write('9,12\n')
+    rows, bad = read_reviews(spark, path)
+    assert [r.asDict() for r in rows.collect()] == [
+        {"movieId": "100", "rating": "5", "quote": "good", "creationDate": "2020-01-01", "userId": "7"}]
+    assert sorted(r.line for r in bad.collect()) == ["8,11,3,too,many,fields,here,8", "9,12"]
+    with pytest.raises(ValueError, match="colour"):
+        read_reviews(spark, path, ("userId", "colour"))
+
+
+def test_read_lines_without_header(spark):
+    d = tempfile.mkdtemp(prefix="reelrank-io-")
+    path = os.path.join(d, "lines.txt")
+    with open(path, "w") as f:
+        f.write("1,2,3.5\n4,5\n")
+    names = ("movieId", "userId", "rating")
+    rows, bad = read_reviews(spark, path, ("rating", "userId"), names=names)
+    assert [tuple(r) for r in rows.collect()] == [("3.5", "2")]
+    assert [r.line for r in bad.collect()] == ["4,5"]
 
 
 def test_write_table_once_sorted_and_filterable(spark):

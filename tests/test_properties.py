@@ -94,7 +94,7 @@ def test_item_knn_matches_pair_sums(rand_df, rand_rows):
     assert all(0.0 <= r.totalScore <= 5.0 for r in top)
 
 
-def test_unseen_pair_scores_matches_pairs(rand_df, rand_rows):
+def test_unseen_pair_scores_matches_pairs(rand_df, rand_rows, monkeypatch):
     s = brute_pairs(rand_rows)
     target = rand_rows[0][0]
     seen = {i for u, i, _ in rand_rows if u == target}
@@ -102,9 +102,10 @@ def test_unseen_pair_scores_matches_pairs(rand_df, rand_rows):
     for (a, b), v in s.items():
         if b not in seen:
             expected[a] += v
-    for kw in ({}, {"max_block_items": 4, "max_block_rows": 10}):
+    for ranges in (3, 1, 64):
+        monkeypatch.setattr(nb, "ITEM_RANGES", ranges)
         got = {r.itemId: r.predictedScore
-               for r in nb.unseen_pair_scores_from_ratings(rand_df, target, **kw).collect()}
+               for r in nb.unseen_pair_scores_from_ratings(rand_df, target).collect()}
         assert set(got) == set(expected)
         assert all(abs(got[i] - expected[i]) < 1e-9 for i in got)
 
