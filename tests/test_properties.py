@@ -232,11 +232,28 @@ def test_rating_rmse_train_below_holdout(rand_df):
     assert train.rmse < test.rmse
 
 
-def test_two_hop_and_unseen_build_no_pair_table(monkeypatch, rand_df, rand_rows):
-    """With whole tiles (C = 1) the pair-emitting tile function is never
-    called: only per-item sums leave the tiles."""
-    def no_pairs(*_):
-        raise AssertionError("pair table built")
-    monkeypatch.setattr(nb, "_tile_pairs", no_pairs)
-    assert nb.two_hop_from_ratings(rand_df).count() > 0
+def test_unseen_pairs_use_no_tiles(monkeypatch, rand_df, rand_rows):
+    def no_tiles(*_):
+        raise AssertionError("tiles planned")
+    monkeypatch.setattr(nb, "_tiles", no_tiles)
     assert nb.unseen_pair_scores_from_ratings(rand_df, rand_rows[0][0]).count() > 0
+
+
+def test_plans_do_not_depend_on_cores(monkeypatch, rand_df, rand_rows):
+    """The number of tiles and the operators of both plans are the same on 4,
+    64 and 1000 cores."""
+    import re
+
+    from pyspark import SparkContext
+
+    def shape(df):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        return re.sub(r"ExistingRDD.*", "", re.sub(r"#\d+L?|plan_id=\d+|@\w+", "", text))
+
+    target, seen = rand_rows[0][0], set()
+    q = nb.normalized_ratings(rand_df)
+    for cores in (4, 64, 1000):
+        monkeypatch.setattr(SparkContext, "defaultParallelism", property(lambda _, n=cores: n))
+        seen.add((shape(nb.item_pair_stats(q)), shape(nb.unseen_pair_scores_from_ratings(rand_df, target))))
+    # tasks are named alike in each; only generated function names differ
+    assert len({tuple(re.sub(r"_tile_pairs\([^)]*\)", "", x) for x in pair) for pair in seen}) == 1
