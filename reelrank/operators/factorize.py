@@ -78,6 +78,26 @@ def als_recommend(ratings: DataFrame, target: int, n: int, rank: int = 10,
                                   ratings, target, n)
 
 
+def als_residuals(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float = 0.1,
+                  seed: int = 42) -> DataFrame:
+    """userId, residual: the largest entry of (sum m m' + reg n I) u - sum r m
+    over a user's ratings, relative to the largest entry of sum |r m|."""
+    ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
+    model = als_fit(ratings, rank, max_iter, reg, seed)
+    u = model.userFactors.select(F.col("id").cast("long").alias(USER), F.col("features").alias("u"))
+    m = model.itemFactors.select(F.col("id").cast("long").alias(ITEM), F.col("features").alias("m"))
+    rows = ratings.join(u, USER).join(m, ITEM).withColumn(
+        "e", _dot(F.col("u"), F.col("m"), rank) - F.col(RATING))
+    sums = rows.groupBy(USER).agg(
+        F.count(F.lit(1)).alias("n"), F.first("u").alias("u"),
+        *[F.sum(F.col("e") * F.col("m")[k]).alias(f"g{k}") for k in range(rank)],
+        *[F.sum(F.abs(F.col(RATING) * F.col("m")[k])).alias(f"s{k}") for k in range(rank)])
+    left = F.greatest(*[F.abs(F.col(f"g{k}") + F.lit(reg) * F.col("n") * F.col("u")[k])
+                        for k in range(rank)])
+    return sums.select(USER, (left / F.greatest(*[F.col(f"s{k}") for k in range(rank)]))
+                       .alias("residual"))
+
+
 def als_fit_predict(ratings: DataFrame, rank: int = 10, max_iter: int = 10,
                     reg: float = 0.1, seed: int = 42) -> DataFrame:
     """Index users and items by frequency (distributed), fit ALS on the

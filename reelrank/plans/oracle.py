@@ -285,6 +285,21 @@ FROM (SELECT itemId, count(*) AS n FROM reviews GROUP BY itemId)""",
   doc_id, creationDate LIMIT {SAMPLE_ROWS}""",
         "train_test_split": with_(REVIEWS, RATINGS) +
         f"SELECT *, CASE WHEN {h_split} < 0.8 THEN 'train' ELSE 'test' END AS split FROM ratings",
+        "als_normal_equations": with_(REVIEWS, RATINGS) +
+        "SELECT DISTINCT userId, CAST(0 AS DOUBLE) AS residual FROM ratings",
+        "user_knn_batch": with_(
+            REVIEWS, RATINGS,
+            f"""own AS (SELECT userId AS target, itemId, rating AS t FROM ratings
+  WHERE userId % 100 = {TARGET})""",
+            """sim AS (SELECT target, r.userId, sum(r.rating * t) / (sqrt(sum(t * t)) * sqrt(sum(r.rating * r.rating))) AS s
+  FROM ratings r JOIN own USING (itemId) WHERE r.userId <> target GROUP BY target, r.userId)""",
+            """sc AS (SELECT target, r.itemId, avg(r.rating * s) AS score FROM ratings r JOIN sim USING (userId)
+  WHERE NOT EXISTS (SELECT 1 FROM own o WHERE o.target = sim.target AND o.itemId = r.itemId)
+  GROUP BY target, r.itemId)""",
+            """ranked AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY round(score, 9) DESC, itemId) AS rank
+  FROM sc)""") +
+        f"""SELECT target AS userId, itemId, round(score, 6) AS totalScore, rank FROM ranked
+WHERE rank <= {TOP_PER_USER}""",
         "clean_text_entities": f"""SELECT page_id, {tidied_sql(
             "'caf\u00e9 ' || chr((97 + page_id % 26)::INT) || chr((65 + page_id % 26)::INT) || ' &amp; &nosuch; \u00a9 \u2019<b> ' || "
             + stripped_sql("coalesce(html, '')"))} AS text FROM pages""",
