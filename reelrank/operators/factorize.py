@@ -105,26 +105,22 @@ def als_fit_predict(ratings: DataFrame, rank: int = 10, max_iter: int = 10,
     userId, itemId, rating, prediction."""
     users = index_ids(ratings, USER, method="frequency")
     items = index_ids(ratings, ITEM, method="frequency")
-    indexed = apply_index(apply_index(ratings.select(USER, ITEM, RATING), users, USER), items, ITEM)
-    indexed = indexed.withColumnRenamed(USER, "userIndex").withColumnRenamed(ITEM, "itemIndex")
-    model = als_fit(indexed.withColumnRenamed("userIndex", USER).withColumnRenamed("itemIndex", ITEM),
-                    rank, max_iter, reg, seed)
-    pred = model.transform(indexed.select(F.col("userIndex").cast("int").alias(USER),
-                                          F.col("itemIndex").cast("int").alias(ITEM), RATING))
-    back_u = users.select(F.col(f"{USER}_index").cast("int").alias(USER),
-                          F.col(f"{USER}_original").alias("_u"))
-    back_i = items.select(F.col(f"{ITEM}_index").cast("int").alias(ITEM),
-                          F.col(f"{ITEM}_original").alias("_i"))
-    return (pred.join(back_u, USER).join(back_i, ITEM)
-            .select(F.col("_u").alias(USER), F.col("_i").alias(ITEM), RATING,
-                    F.col("prediction").cast("double").alias("prediction")))
+    # the model keeps further columns: the original ids travel along
+    own = ratings.select(USER, ITEM, RATING, F.col(USER).alias("_u"), F.col(ITEM).alias("_i"))
+    indexed = apply_index(apply_index(own, users, USER), items, ITEM).withColumns(
+        {USER: F.col(USER).cast("int"), ITEM: F.col(ITEM).cast("int")})
+    model = als_fit(indexed, rank, max_iter, reg, seed)
+    return model.transform(indexed).select(
+        F.col("_u").alias(USER), F.col("_i").alias(ITEM), RATING,
+        F.col("prediction").cast("double").alias("prediction"))
 
 
 def rating_rmse(ratings: DataFrame, test_fraction: float = 0.2, seed: int = 42,
                 rank: int = 10, max_iter: int = 10, reg: float = 0.1,
                 holdout: bool = True) -> DataFrame:
     """Hold out a seeded hash split, train ALS on the rest, report the
-    RMSE on the held-out rows: rmse, n_test. ``holdout=False`` trains and
+    RMSE on the held-out rows: rmse, n_test, and n_cold for the held-out rows
+    whose user or item the training part lacks. ``holdout=False`` trains and
     evaluates on every row (a training error, as the reference printed)."""
     if holdout:
         split = train_test_split(ratings, [USER, ITEM], test_fraction, seed)
@@ -132,11 +128,13 @@ def rating_rmse(ratings: DataFrame, test_fraction: float = 0.2, seed: int = 42,
         test = split.filter(F.col("split") == "test").drop("split")
     else:
         train = test = ratings
-    model = als_fit(train, rank, max_iter, reg, seed)
+    model = als_fit(train, rank, max_iter, reg, seed).setColdStartStrategy("nan")
     pred = model.transform(test.select(F.col(USER).cast("int").alias(USER),
                                        F.col(ITEM).cast("int").alias(ITEM), RATING))
-    err = F.col(RATING) - F.col("prediction")
-    return pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.count(F.lit(1)).alias("n_test"))
+    cold = F.isnan("prediction")
+    err = F.when(~cold, F.col(RATING) - F.col("prediction"))
+    return pred.agg(F.sqrt(F.avg(err * err)).alias("rmse"), F.count(err).alias("n_test"),
+                    F.count_if(cold).alias("n_cold"))
 
 
 # ---------------------------------------------------------- gradient descent
