@@ -35,11 +35,6 @@ def round_score(x: Column | str, digits: int = 2) -> Column:
     return F.round(_col(x), digits)
 
 
-def bround_score(x: Column | str, digits: int = 2) -> Column:
-    """Round HALF_EVEN."""
-    return F.bround(_col(x), digits)
-
-
 def round_ratio_half_up(num: Column | str, den: Column | str, digits: int = 2) -> Column:
     """round(num / den, digits) HALF_UP for integers num >= 0, den > 0,
     computed in exact integer arithmetic: floor((2*s*num + den) / (2*den)) / s."""
@@ -50,12 +45,6 @@ def round_ratio_half_up(num: Column | str, den: Column | str, digits: int = 2) -
     return steps / F.lit(float(scale))
 
 
-def dot(a: Column | str, b: Column | str) -> Column:
-    """Dot product of two numeric arrays."""
-    return F.aggregate(F.zip_with(_col(a), _col(b), lambda x, y: x * y),
-                       F.lit(0.0), lambda acc, x: acc + x)
-
-
 def dot_literal(a: Column | str, vec: Sequence[float]) -> Column:
     """Dot product of an array column with a short driver-side vector."""
     a = _col(a)

@@ -91,12 +91,6 @@ def review_sentiment(texts: DataFrame, scores: DataFrame) -> DataFrame:
         F.coalesce(F.col("_label"), F.lit("NEUTRAL")).alias("label_first"))
 
 
-def score_texts(texts: DataFrame, documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """Lexicon from the labelled documents, then ``review_sentiment``."""
-    lex = polarity_lexicon(documents, labels)
-    return review_sentiment(texts, sentence_scores(texts, lex))
-
-
 def label_scores(sentiment: DataFrame, seed: int = 42) -> DataFrame:
     """doc_id, label, labelScore: the first-sentence label mapped to its
     score band plus a seeded fraction (positive 4-5, neutral 2-3,

@@ -1,4 +1,4 @@
-"""Composed recommenders: the hybrid (ALS + user-KNN) and neighbour blends."""
+"""Composed recommender: the hybrid of ALS and user-KNN."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from reelrank.operators.blend import blend_recommendations
 from reelrank.operators.factorize import als_recommend
-from reelrank.operators.neighbours import item_knn, user_knn
+from reelrank.operators.neighbours import user_knn
 
 
 def hybrid_recommendations(ratings: DataFrame, target: int, n: int,
@@ -17,9 +17,3 @@ def hybrid_recommendations(ratings: DataFrame, target: int, n: int,
     mf = als_recommend(ratings, target, n, rank, max_iter, reg, seed)
     knn = user_knn(ratings, target, n)
     return blend_recommendations(mf, knn)
-
-
-def neighbour_blend(ratings: DataFrame, blended: DataFrame, target: int, n: int) -> DataFrame:
-    """User-KNN on plain ratings blended with item-KNN (scaled 0-5) on
-    sentiment-blended ratings."""
-    return blend_recommendations(user_knn(ratings, target, n), item_knn(blended, target, n))
