@@ -57,7 +57,9 @@ def skew_lookup(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     hot = groups.where(F.col(size) > cut).select(
         *[F.col(k) for k in keys], *[F.col(c).alias(f"_hot_{c}") for c in values])
     cold = groups.where(F.col(size) <= cut).select(
-        *[F.col(k) for k in keys], F.lit(0).alias("_salt"),
+        # zero, but not a literal: a constant would leave the join's keys and
+        # with it the dealing out
+        *[F.col(k) for k in keys], (F.col(size) > cut).cast("int").alias("_salt"),
         *[F.col(c).alias(f"_cold_{c}") for c in values])
     found = F.col(f"_hot_{size}").isNotNull()
     out = rows.join(F.broadcast(hot), keys, "left").withColumn(
@@ -66,3 +68,19 @@ def skew_lookup(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     out = out.join(cold, [*keys, "_salt"], "left")
     return out.select(*[F.col(c) for c in rows.columns],
                       *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in values])
+
+
+def commonest(counts: DataFrame, count: str, limit: int) -> DataFrame:
+    """The rows of a written ``counts`` table with the largest ``count``, at
+    most ``limit``: those from the least power of 2^(1/16) on that no more
+    than ``limit`` rows reach. A histogram of some hundred numbers finds it,
+    so no task sends ``limit`` rows of its own."""
+    step = F.floor(F.log2(count) * 16).cast("int")
+    cut, held = None, 0
+    for r in sorted(counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(),
+                    key=lambda r: -r["s"]):
+        held += r["n"]
+        if held > limit:
+            break
+        cut = r["s"]
+    return counts.where(step >= cut) if cut is not None else counts.limit(0)
