@@ -23,6 +23,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reelrank.llm.common import commonest, written
+
 # The rules (verdict, host and path prefix).
 RULES = (("block", "net/"), ("allow", "example.net/en/"),
          ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -100,11 +102,10 @@ class Words:
 def word_counts(texts: DataFrame, text: str, limit: int = MAX_WORDS) -> Words:
     """The commonest words of a text column, with their counts over all rows."""
     words = F.explode(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^a-z]+"))
-    counts = (texts.select(words.alias("w")).where("length(w) between 2 and 24")
-              .groupBy("w").agg(F.count("*").alias("n")))
+    counts = written(texts.select(words.alias("w")).where("length(w) between 2 and 24")
+                     .groupBy("w").agg(F.count("*").alias("n")), "url-words")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "w").limit(limit).collect()
-    known = {r["w"]: r["n"] for r in top}
+    known = {r["w"]: r["n"] for r in commonest(counts, "n", limit).collect()}
     for t in (*BLOCK_TERMS, *ALLOW_TERMS):
         known[t] = known.get(t, 0) + SEED_WEIGHT
     total = float(total + SEED_WEIGHT * (len(BLOCK_TERMS) + len(ALLOW_TERMS)) + 1)
@@ -151,16 +152,17 @@ def _token_task(words: Words):
 
 def train(judged: DataFrame, words: Words, limit: int = MAX_TOKENS) -> Bayes:
     """From (host, path, verdict) rows; counts cover all of them, add-one."""
-    counts = (judged.select("host", "path", "verdict")
-              .mapInArrow(_token_task(words), "verdict string, token string, n long")
-              .groupBy("token").agg(*[
-                  F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(v)
-                  for v in ("block", "allow")]))
+    counts = written(
+        judged.select("host", "path", "verdict")
+        .mapInArrow(_token_task(words), "verdict string, token string, n long")
+        .groupBy("token").agg(F.sum("n").alias("n"), *[
+            F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(v)
+            for v in ("block", "allow")]), "url-tokens")
     totals = counts.agg(
         F.sum("block").alias("block"), F.sum("allow").alias("allow"),
         F.count("*").alias("n")).first()
-    held = {r["token"]: (r["block"], r["allow"]) for r in counts.orderBy(
-        F.desc(F.expr("block + allow")), "token").limit(limit).collect()}
+    held = {r["token"]: (r["block"], r["allow"])
+            for r in commonest(counts, "n", limit).collect()}
     for side, terms in enumerate((BLOCK_TERMS, ALLOW_TERMS)):
         for t in terms:
             n = list(held.get("h:" + t, (0, 0)))
