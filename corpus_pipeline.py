@@ -26,12 +26,13 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_rows(docs, exact_dedup(docs).where("kept"))
+    found = written(exact_dedup(docs), "exact-dedup-rows")
+    return keep_rows(docs, found, found.where("kept"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs, SIMHASH_WORDS, SIMHASH_BITS)
-    return keep_rows(docs, simhash.group_heads(found))
+    found = written(simhash.near_duplicates(docs, SIMHASH_WORDS, SIMHASH_BITS), "near-dedup-rows")
+    return keep_rows(docs, found, simhash.group_heads(found))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

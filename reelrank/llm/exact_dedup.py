@@ -59,13 +59,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         "text_sha256")
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id",
+def keep_rows(docs: DataFrame, rows: DataFrame, kept: DataFrame, id_col: str = "doc_id",
               text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose (id, text) is in ``kept`` (doc_id,
-    text_sha256), each once: rows that repeat id and text are one row."""
-    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    text_sha256), each once: rows that repeat id and text are one row.
+    ``rows`` has the same two columns for every row of ``docs``; it tells,
+    without the texts, whether there is any such repetition to remove."""
     keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    marked = docs.withColumn("_digest", digest)
-    found = marked.join(keys, F.col(id_col).eqNullSafe(F.col("_id"))
-                        & (F.col("_digest") == F.col("_sha")), "left_semi")
-    return found.dropDuplicates([id_col, "_digest"]).drop("_digest")
+    digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
+    found = docs.withColumn("_digest", digest).join(
+        keys, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")),
+        "left_semi")
+    repeated = rows.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        found = found.dropDuplicates([id_col, "_digest"])
+    return found.drop("_digest")

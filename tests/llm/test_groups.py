@@ -50,7 +50,7 @@ def test_exact_dedup_same_length_and_prefix(make):
 
 def test_keep_rows(odd):
     found = exact_dedup.exact_dedup(odd)
-    kept = exact_dedup.keep_rows(odd, found.where("kept"))
+    kept = exact_dedup.keep_rows(odd, found, found.where("kept"))
     assert kept.columns == odd.columns
     assert kept.count() == len({t or "" for _, t in ODD})
 
