@@ -223,6 +223,30 @@ def test_network_learns_more_than_unigrams(make):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held) + 5 * len(held)
 
 
+def test_network_meets_every_training_row(make, monkeypatch, tmp_path):
+    # over 200,000 tokens, a third of the rows without an id, a tenth equal
+    rng = np.random.default_rng(5)
+    rows = [(None if i % 3 == 0 else i, " ".join(rng.choice(["a", "b", "c", "d"], 99)))
+            for i in range(2700)] + [(None, "e " * 99)] * 300
+    n = sum(i is None or zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows)
+    folder = str(tmp_path)
+
+    def fake(*_):  # a task writes how many rows it has been given
+        def run(batches):
+            import uuid
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(sum(b.num_rows for b in batches)))
+            yield from ()
+        return run
+
+    monkeypatch.setattr(lm, "_train_task", fake)
+    monkeypatch.setattr(lm, "SHARD_TOKENS", 30_000)
+    lm.train(make(rows), rounds=1)
+    met = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sum(met) == n
+    assert len(met) > 5 and max(met) < 2.5 * n / len(met)
+
+
 def test_gradient_matches_differences():
     net = lm.Network(9, width=4)
     net.theta[:] = np.random.default_rng(0).normal(0, 0.5, len(net.theta))
