@@ -112,11 +112,12 @@ def word_counts(texts: DataFrame, text: str, limit: int = MAX_WORDS) -> Words:
     return Words({w: math.log(n / total) for w, n in known.items()}, total)
 
 
-def tokens(host: str, path: str, words: Words) -> list[str]:
-    """Segmented words of the host's own labels (without its last two, which
-    the rules judge) and of the path; numbers by their length."""
+def tokens(host: str, path: str, words: Words, rule: str | None = None) -> list[str]:
+    """Segmented words of the host's labels, without the top-level one and
+    those that ``rule`` names, and of the path; numbers by their length."""
     labels = host.split(".")
-    own = labels[:-2] if len(labels) > 2 else labels[:1]
+    named = rule.partition("/")[0].count(".") + 1 if rule else 1
+    own = labels[:-named] if len(labels) > 1 else labels
     out = ["h:" + w for label in own for part in _PART.findall(label)
            for w in ([f"#{len(part)}"] if part.isdigit() else words.split(part))]
     for part in _PART.findall(path.lower()):
@@ -142,8 +143,8 @@ def _token_task(words: Words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: Counter = Counter()
-            for h, p, v in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                counts.update((v, t) for t in tokens(h, p, words))
+            for h, p, v, r in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                counts.update((v, t) for t in tokens(h, p, words, r))
             yield pa.RecordBatch.from_pydict({
                 "verdict": [k[0] for k in counts], "token": [k[1] for k in counts],
                 "n": pa.array(list(counts.values()), pa.int64())})
@@ -151,9 +152,9 @@ def _token_task(words: Words):
 
 
 def train(judged: DataFrame, words: Words, limit: int = MAX_TOKENS) -> Bayes:
-    """From (host, path, verdict) rows; counts cover all of them, add-one."""
+    """From (host, path, verdict, rule) rows; counts cover all of them, add-one."""
     counts = written(
-        judged.select("host", "path", "verdict")
+        judged.select("host", "path", "verdict", "rule")
         .mapInArrow(_token_task(words), "verdict string, token string, n long")
         .groupBy("token").agg(F.sum("n").alias("n"), *[
             F.sum(F.when(F.col("verdict") == v, F.col("n")).otherwise(0)).alias(v)

@@ -198,6 +198,22 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.where("page_id < 0"), texts_).collect() == []
 
 
+def test_registered_names_are_scored(spark):
+    words = url_filter.Words({"cheap": -2.0, "casino": -3.0, "www": -3.0, "example": -3.0}, 1e6)
+    assert url_filter.tokens("www.cheapcasino.com", "", words) == ["h:www", "h:cheap", "h:casino"]
+    assert url_filter.tokens("cheapcasino.com", "", words) == ["h:cheap", "h:casino"]
+    assert url_filter.tokens("www.example.net", "", words, "example.net/en/") == ["h:www"]
+    assert url_filter.tokens("www.example.net", "", words, "net/") == ["h:www", "h:example"]
+    assert url_filter.tokens("example.net", "", words, "example.net/en/") == []
+    assert url_filter.tokens("casino", "", words) == ["h:casino"]
+    pages = spark.createDataFrame([(1, "http://www.cheapcasino.com/"), (2, "http://cheapcasino.com/"),
+                                   (3, "http://www.cheap-pills.com/"), (4, "http://www.sciencenews.com/")],
+                                  "page_id long, url string")
+    texts_ = spark.createDataFrame([("cheap casino pills science news " * 9,)], "text string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, texts_).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
+
+
 def test_segmentation_is_the_likeliest():
     words = url_filter.Words({"cheap": -2.0, "pills": -3.0, "pill": -3.5, "s": -6.0, "che": -9.0}, 1e6)
     assert words.split("cheappills") == ["cheap", "pills"]
