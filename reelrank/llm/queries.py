@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelrank.llm import (
-    bpe, exact_dedup, licenses, lm, packing, quality_rules, simhash, token_counts, toxicity,
-    url_filter)
+    bpe, exact_dedup, licenses, lm, packing, quality_classifier, quality_rules, simhash,
+    token_counts, toxicity, url_filter)
 from reelrank.llm.common import documents
 
 
@@ -73,9 +73,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_classifier.document_statistics(documents(spark, sf_dir))
+    model = quality_classifier.train(
+        rows, spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet"))
+    return quality_classifier.score(rows, model).select(
+        "doc_id", quality_classifier.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash, op7_token_counts,
-    op8_url_filters, op9_lm_scoring, op10_licenses)}
+    op8_url_filters, op9_lm_scoring, op10_licenses, op11_quality_classifier)}
 
 _DEDUP_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
