@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelrank.llm import (
-    bpe, exact_dedup, licenses, lm, packing, quality_classifier, quality_rules, simhash,
+    bpe, exact_dedup, licenses, lm, packing, phrases, quality_classifier, quality_rules, simhash,
     token_counts, toxicity, url_filter)
 from reelrank.llm.common import documents
 
@@ -82,9 +82,14 @@ def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= quality_classifier.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash, op7_token_counts,
-    op8_url_filters, op9_lm_scoring, op10_licenses, op11_quality_classifier)}
+    op8_url_filters, op9_lm_scoring, op10_licenses, op11_quality_classifier,
+    op12_collocations)}
 
 _DEDUP_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
@@ -128,7 +133,43 @@ f AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        failed & 3 <> 0 AS base_failed, failed = 0 AS kept, failed FROM f"""
 
+_COLLOCATION_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+c AS MATERIALIZED (
+  SELECT lang, m, phrase, count(*) AS f FROM (
+    SELECT lang, m, array_to_string(words[i : i + m - 1], ' ') AS phrase
+    FROM w, generate_series(1, 5) AS t(m), unnest(generate_series(1, len(words) - m + 1)) AS s(i))
+  GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[: m - 1], ' '),
+                            array_to_string(string_split(phrase, ' ')[2 :], ' ')]) AS phrase
+    FROM c WHERE m > 2) GROUP BY ALL),
+cut AS (
+  SELECT c.lang, c.phrase, c.f AS a, k,
+         array_to_string(string_split(c.phrase, ' ')[: k], ' ') AS first,
+         array_to_string(string_split(c.phrase, ' ')[k + 1 :], ' ') AS rest
+  FROM c LEFT JOIN longer AS g ON g.lang = c.lang AND g.phrase = c.phrase,
+       unnest(generate_series(1, m - 1)) AS s(k)
+  WHERE m > 1 AND (g.f IS NULL OR 100 * g.f < 100 * c.f)),
+score AS (
+  SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r, n.n,
+         ((1000::HUGEINT * a * n.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+  FROM cut JOIN c AS x ON x.lang = cut.lang AND x.phrase = first
+           JOIN c AS y ON y.lang = cut.lang AND y.phrase = rest JOIN n ON n.lang = cut.lang),
+low AS (
+  SELECT * FROM score QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM low) WHERE rank <= 2000"""
+
 ORACLES = {
+    "op12_collocations": _COLLOCATION_SQL,
     "op1_exact_dedup": _DEDUP_SQL,
     "op2_quality_rules": _QUALITY_SQL,
 }
