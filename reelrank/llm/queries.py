@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelrank.llm import (
     bpe, exact_dedup, licenses, lm, packing, phrases, quality_classifier, quality_rules, simhash,
-    token_counts, toxicity, url_filter)
+    token_counts, toxicity, url_filter, variants)
 from reelrank.llm.common import documents
 
 
@@ -86,10 +86,14 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_quality_rules, op3_bpe, op4_toxicity, op5_packing, op6_simhash, op7_token_counts,
     op8_url_filters, op9_lm_scoring, op10_licenses, op11_quality_classifier,
-    op12_collocations)}
+    op12_collocations, op13_spelling_variants)}
 
 _DEDUP_SQL = """
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
