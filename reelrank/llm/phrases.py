@@ -40,11 +40,12 @@ from reelrank.llm.common import skew_lookup, text_bytes, written
 MAX_WORDS, LEAST, TOP = 5, 100, 2000
 # share of the documents in the sample, and what share of the threshold to be
 # expected there a phrase must reach
-SAMPLE_SHARE, SAMPLE_LEAST = 0.125, 0.4
+SAMPLE_SHARE, SAMPLE_LEAST = 0.125, 0.2
 # bits of the bitmap for each proposed phrase, and at most
 BITS_EACH, MAX_BITS = 32, 2**28
 # tokens counted at a time (fewer than 2^21 with one slice more), bytes of a slice
-CHUNK_TOKENS, SLICE_BYTES = 1_400_000, 1_000_000
+CHUNK_TOKENS, SLICE_BYTES = 1_000_000, 1_000_000
+_ROWS = 100_000
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes.maketrans(
@@ -52,31 +53,59 @@ _TABLE = bytes.maketrans(
     b"abcdefghijklmnopqrstuvwxyz " + b"\n" * len(_BREAKS))
 
 
+_TIMES, _MORE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)  # odd
+
+
+def word_hashes(langs: list[bytes], words: list[bytes]) -> np.ndarray:
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(a + b"\0" + w) for a, w in zip(langs, words)), np.uint64, len(words))
+
+
+def longer_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Hash of a phrase with one word more, of the hashes of both."""
+    x = (phrase * _TIMES + word) * _MORE
+    return x ^ (x >> np.uint64(29))
+
+
 class Proposed:
     """The bitmap of proposed phrases: no false negatives."""
 
     def __init__(self, bits: int, bitmap: np.ndarray):
         self.shift, self.bitmap = 64 - bits.bit_length() + 1, bitmap
 
-    def has(self, langs: list[bytes], phrases: list[bytes]) -> np.ndarray:
-        digest = xxhash.xxh64_intdigest
-        at = np.fromiter((digest(a + b"\0" + p, 42) for a, p in zip(langs, phrases)),
-                         np.uint64, len(phrases)) >> np.uint64(self.shift)
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes >> np.uint64(self.shift)
         return (self.bitmap[(at >> np.uint64(3)).astype(np.int64)]
                 >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _places_task(shift: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, phrases = (c.to_pylist() for c in batch.columns)
+            words = [p.split(b" ") for p in phrases]
+            size = np.fromiter(map(len, words), np.int64, len(words))
+            each = word_hashes([a for a, w in zip(langs, words) for _ in w],
+                               [x for w in words for x in w])
+            first = np.cumsum(size) - size
+            hashes = each[first] if len(size) else each
+            for k in range(1, int(size.max(initial=0))):
+                on = size > k
+                hashes[on] = longer_hash(hashes[on], each[first[on] + k])
+            yield pa.RecordBatch.from_pydict({
+                "at": pa.array((hashes >> np.uint64(shift)).astype(np.int64))})
+    return run
+
+
 def bitmap_of(phrases: DataFrame, n: int) -> Proposed:
     """``Proposed`` of (lang, phrase) rows, ``n`` of them."""
     bits = 2**20
     while bits < min(MAX_BITS, BITS_EACH * n):
         bits *= 2
     bitmap = np.zeros(bits // 8, np.uint8)
-    key = F.concat(F.col("lang").cast("binary"), F.lit(bytearray(b"\0")),
-                   F.col("phrase").cast("binary"))
-    at = F.shiftrightunsigned(F.xxhash64(key), 64 - bits.bit_length() + 1)
-    blocks = (phrases.select(at.alias("at"))
-              .groupBy(F.shiftright("at", 15).alias("block"))
+    places = phrases.select(F.col("lang").cast("binary"), F.col("phrase").cast("binary")).mapInArrow(
+        _places_task(64 - bits.bit_length() + 1), "at long")
+    blocks = (places.groupBy(F.shiftright("at", 15).alias("block"))
               .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(32767)).alias("map")))
     for r in blocks.collect():
         bitmap[r["block"] * 4096:(r["block"] + 1) * 4096] = np.frombuffer(r["map"], np.uint8)
@@ -103,6 +132,7 @@ class _Chunk:
         self.next = count(1)  # 0 is the break between pieces
         self.index: dict[bytes, dict[bytes, int]] = {}
         self.parts: list[np.ndarray] = []
+        self.stream: list[bytes] = []  # the tokens again, to cut phrases from
         self.size = 0
 
     def add(self, lang: bytes, tokens: list[bytes]) -> None:
@@ -111,69 +141,80 @@ class _Chunk:
             index = self.index[lang] = defaultdict(self.next.__next__)
             index[b"\n"] = 0
         self.parts.append(np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens)))
+        self.stream.append(b" ".join(tokens))
         self.size += len(tokens)
 
     def phrases(self, new: Proposed | None, old: Proposed | None, own: int
-                ) -> Iterator[tuple[list[bytes], list[bytes], np.ndarray]]:
+                ) -> Iterator[tuple[pa.Array, list[bytes], np.ndarray]]:
         """(languages, phrases, counts) of phrases that start among the first
         ``own`` tokens, are countable under ``new`` and were not under
         ``old`` (None: no pass before). Totals come as empty phrases."""
         at = np.concatenate(self.parts)
+        self.parts.clear()
         n = next(self.next)
-        names, langs = [b""] * n, [b""] * n
-        for lang, index in self.index.items():
+        names, lang_of = [b""] * n, np.zeros(n, np.int32)
+        langs = list(self.index)
+        for k, index in enumerate(self.index.values()):
             for w, i in index.items():
                 if i:
-                    names[i], langs[i] = w, lang
+                    names[i] = w
+            lang_of[[i for i in index.values() if i]] = k
+        self.index.clear()
+        dictionary = pa.array(langs, pa.binary())
+        language = lambda k: dictionary.take(pa.array(k))
         counts = np.bincount(at[:own], minlength=n)
         if old is None:
-            yield langs[1:], names[1:], counts[1:]
-            totals = defaultdict(int)
-            for lang, c in zip(langs[1:], counts[1:].tolist()):
-                totals[lang] += c
-            yield list(totals), [b""] * len(totals), np.array(list(totals.values()), np.int64)
+            for i in range(1, n, _ROWS):
+                yield (language(lang_of[i:i + _ROWS]), names[i:i + _ROWS], counts[i:i + _ROWS])
+            totals = np.bincount(lang_of[1:], weights=counts[1:], minlength=len(langs))
+            yield dictionary, [b""] * len(langs), totals.astype(np.int64)
         if new is None:
             return
-        last = names  # last word of each phrase
-        alive = np.zeros(n, bool)
-        before = np.zeros(n, bool)  # proposed, and counted, in the pass before
-        alive[1:] = new.has(langs[1:], names[1:])
-        if old is not None:
-            before[1:] = old.has(langs[1:], names[1:])
+        stream = b" ".join(self.stream)
+        self.stream.clear()
+        gaps = np.flatnonzero(np.frombuffer(stream, np.uint8) == 32)
+        begins = np.concatenate([[0], gaps + 1])
+        ends = np.concatenate([gaps, [len(stream)]])
+        words = np.zeros(n, np.uint64)
+        words[1:] = word_hashes([langs[k] for k in lang_of[1:].tolist()], names[1:])
+        del names
+        # of each phrase of the level: hash, hash of its last word, whether
+        # proposed, whether counted and proposed in the pass before
+        hashes, last = words, words
+        alive = new.has(words)
+        before = old.has(words) if old is not None else np.zeros(n, bool)
+        alive[0] = before[0] = False
         for m in range(2, MAX_WORDS + 1):
-            both = alive[at[:-1]] & alive[at[1:]] if len(at) > 1 else np.zeros(0, bool)
-            starts = np.flatnonzero(both)
+            starts = np.flatnonzero(alive[at[:-1]] & alive[at[1:]])
             if not len(starts):
                 return
             # one sort of (first part, second part, place) packed in 63 bits
-            packed = np.sort(((at[starts] << 42) | (at[starts + 1] << 21) | starts)
-                             .astype(np.uint64))
-            pair, place = packed >> np.uint64(21), (packed & np.uint64(2**21 - 1)).astype(np.int64)
+            packed = np.sort((at[starts] << 42) | (at[starts + 1] << 21) | starts)
+            pair, place = packed >> 21, packed & (2**21 - 1)
             fresh = np.concatenate([[True], pair[1:] != pair[:-1]])
             ids = np.cumsum(fresh)
             heads = place[fresh]
-            first, second = at[heads].tolist(), at[heads + 1].tolist()
-            counted = before[at[heads]] & before[at[heads + 1]]
-            names = [b""] + [names[a] + b" " + last[b] for a, b in zip(first, second)]
-            last = [b""] + [last[b] for b in second]
-            langs = [b""] + [langs[a] for a in first]
-            counts = np.bincount(ids[place < own], minlength=len(names))[1:]
-            out = np.flatnonzero((counts > 0) & ~counted)
-            if len(out) == len(counts):
-                yield langs[1:], names[1:], counts
-            else:
-                yield ([langs[i + 1] for i in out.tolist()],
-                       [names[i + 1] for i in out.tolist()], counts[out])
+            del packed, pair, fresh
+            first, second = at[heads], at[heads + 1]
+            counted = before[first] & before[second]
+            hashes = np.concatenate([[np.uint64(0)], longer_hash(hashes[first], last[second])])
+            last = np.concatenate([[np.uint64(0)], last[second]])
+            lang_of = np.concatenate([[np.int32(0)], lang_of[first]])
+            counts = np.bincount(ids[place < own], minlength=len(hashes))
+            out = np.flatnonzero((counts[1:] > 0) & ~counted)
+            for i in range(0, len(out), _ROWS):
+                some = out[i:i + _ROWS]
+                cut = zip(begins[heads[some]].tolist(), ends[heads[some] + m - 1].tolist())
+                yield language(lang_of[some + 1]), [stream[x:y] for x, y in cut], counts[some + 1]
             if m == MAX_WORDS:
                 return
             at = np.zeros_like(at)
             at[place] = ids
-            alive = np.concatenate([[False], new.has(langs[1:], names[1:])])
+            alive = new.has(hashes)
             before = np.concatenate([[False], counted])
             if counted.any():
-                held = np.flatnonzero(counted)
-                before[held + 1] = old.has([langs[i + 1] for i in held.tolist()],
-                                           [names[i + 1] for i in held.tolist()])
+                before &= old.has(hashes)
+            alive[0] = False
 
 
 def _count_task(new, old) -> Callable:
@@ -184,11 +225,9 @@ def _count_task(new, old) -> Callable:
 
         def flush(chunk, own):
             for langs, phrases, counts in chunk.phrases(*filters, own):
-                for i in range(0, len(phrases), 200_000):
-                    yield pa.RecordBatch.from_pydict({
-                        "lang": pa.array(langs[i:i + 200_000], pa.binary()),
-                        "phrase": pa.array(phrases[i:i + 200_000], pa.binary()),
-                        "c": pa.array(counts[i:i + 200_000], pa.int64())})
+                yield pa.RecordBatch.from_pydict({
+                    "lang": langs, "phrase": pa.array(phrases, pa.binary()),
+                    "c": pa.array(counts, pa.int64())})
 
         chunk = _Chunk()
         for batch in batches:
