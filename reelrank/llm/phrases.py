@@ -1,15 +1,15 @@
 """Phrase collocations by Toivonen's mining.
 
-A sample of the documents proposes the phrases (contiguous words of one
-piece of text) that are frequent there at a lowered threshold. One pass over
-all documents then counts, exactly, the proposed phrases and their negative
-border: every phrase that occurs and whose two parts without its last and
-without its first word are proposed (of single words: every word). A border
-phrase that turns out frequent is a failure of the sample: it joins the
-proposed phrases and a further pass counts what this adds to the border,
-until no failure is left. By then every frequent phrase has been counted, as
-its parts are at least as frequent. The sample is mined in the same way,
-from an empty proposal.
+A sample of the documents, mined level by level, proposes the phrases
+(contiguous words of one piece of text) that are frequent there at a lowered
+threshold. One pass over all documents then counts, exactly, the proposed
+phrases and their negative border: every phrase that occurs and whose two
+parts without its last and without its first word are proposed (of single
+words: every word). A border phrase that turns out frequent is a failure of
+the sample. A phrase that is frequent but not counted yet must contain one,
+as all its parts are frequent too, so an expansion pass counts every longer
+phrase around a failure whose parts may be frequent; after it nothing can be
+missing.
 
 Proposals reach the tasks as a bitmap of phrase hashes with at most
 ``MAX_BITS`` bits. Hashes that collide only make a pass count some phrases
@@ -40,12 +40,12 @@ from reelrank.llm.common import skew_lookup, text_bytes, written
 MAX_WORDS, LEAST, TOP = 5, 100, 2000
 # share of the documents in the sample, and what share of the threshold to be
 # expected there a phrase must reach
-SAMPLE_SHARE, SAMPLE_LEAST = 0.125, 0.2
-# bits of the bitmap for each proposed phrase, and at most
+SAMPLE_SHARE, SAMPLE_LEAST = 1 / 16, 0.64
+# bits of a bitmap for each phrase in it, and at most
 BITS_EACH, MAX_BITS = 32, 2**28
 # tokens counted at a time (fewer than 2^21 with one slice more), bytes of a slice
-CHUNK_TOKENS, SLICE_BYTES = 1_000_000, 1_000_000
-_ROWS = 100_000
+CHUNK_TOKENS, SLICE_BYTES = 600_000, 1_000_000
+_ROWS = 50_000
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes.maketrans(
@@ -67,49 +67,66 @@ def longer_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class Proposed:
-    """The bitmap of proposed phrases: no false negatives."""
+def phrase_hashes(langs: list[bytes], phrases: list[bytes]) -> np.ndarray:
+    words = [p.split(b" ") for p in phrases]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    each = word_hashes([a for a, w in zip(langs, words) for _ in w], [x for w in words for x in w])
+    first = np.cumsum(size) - size
+    hashes = each[first] if len(size) else each
+    for k in range(1, int(size.max(initial=0))):
+        on = size > k
+        hashes[on] = longer_hash(hashes[on], each[first[on] + k])
+    return hashes
 
-    def __init__(self, bits: int, bitmap: np.ndarray):
-        self.shift, self.bitmap = 64 - bits.bit_length() + 1, bitmap
+
+class Bitmap:
+    """A set of phrase hashes: no false negatives."""
+
+    def __init__(self, bits: int, bitmap: np.ndarray | None = None):
+        self.shift = 64 - bits.bit_length() + 1
+        self.bitmap = np.zeros(bits // 8, np.uint8) if bitmap is None else bitmap
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(self.shift)
         return (self.bitmap[(at >> np.uint64(3)).astype(np.int64)]
                 >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
+    def add(self, phrases: DataFrame) -> None:
+        """The (lang, phrase) rows; what is collected is the bitmap's blocks."""
+        places = phrases.select("lang", "phrase").mapInArrow(_places_task(self.shift), "at long")
+        blocks = (places.groupBy(F.shiftright("at", 15).alias("block"))
+                  .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(32767)).alias("map")))
+        for r in blocks.collect():
+            part = slice(r["block"] * 4096, (r["block"] + 1) * 4096)
+            self.bitmap[part] |= np.frombuffer(r["map"], np.uint8)[:len(self.bitmap[part])]
+
+
+def bits_for(phrases: int) -> int:
+    bits = 2**20
+    while bits < min(MAX_BITS, BITS_EACH * phrases):
+        bits *= 2
+    return bits
+
 
 def _places_task(shift: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, phrases = (c.to_pylist() for c in batch.columns)
-            words = [p.split(b" ") for p in phrases]
-            size = np.fromiter(map(len, words), np.int64, len(words))
-            each = word_hashes([a for a, w in zip(langs, words) for _ in w],
-                               [x for w in words for x in w])
-            first = np.cumsum(size) - size
-            hashes = each[first] if len(size) else each
-            for k in range(1, int(size.max(initial=0))):
-                on = size > k
-                hashes[on] = longer_hash(hashes[on], each[first[on] + k])
+            hashes = phrase_hashes(*(c.to_pylist() for c in batch.columns))
             yield pa.RecordBatch.from_pydict({
                 "at": pa.array((hashes >> np.uint64(shift)).astype(np.int64))})
     return run
 
 
-def bitmap_of(phrases: DataFrame, n: int) -> Proposed:
-    """``Proposed`` of (lang, phrase) rows, ``n`` of them."""
-    bits = 2**20
-    while bits < min(MAX_BITS, BITS_EACH * n):
-        bits *= 2
-    bitmap = np.zeros(bits // 8, np.uint8)
-    places = phrases.select(F.col("lang").cast("binary"), F.col("phrase").cast("binary")).mapInArrow(
-        _places_task(64 - bits.bit_length() + 1), "at long")
-    blocks = (places.groupBy(F.shiftright("at", 15).alias("block"))
-              .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(32767)).alias("map")))
-    for r in blocks.collect():
-        bitmap[r["block"] * 4096:(r["block"] + 1) * 4096] = np.frombuffer(r["map"], np.uint8)
-    return Proposed(bits, bitmap)
+def _outside_task(proposed) -> Callable:
+    """The (lang, phrase) rows that are not in a broadcast bitmap and can be
+    part of a longer phrase."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, phrases = (c.to_pylist() for c in batch.columns)
+            short = np.fromiter((p.count(b" ") < MAX_WORDS - 1 for p in phrases), bool, len(phrases))
+            out = short & ~proposed.value.has(phrase_hashes(langs, phrases))
+            yield batch.filter(pa.array(out))
+    return run
 
 
 def tokens_of(data: bytes) -> Iterator[list[bytes]]:
@@ -144,11 +161,12 @@ class _Chunk:
         self.stream.append(b" ".join(tokens))
         self.size += len(tokens)
 
-    def phrases(self, new: Proposed | None, old: Proposed | None, own: int
+    def phrases(self, proposed: Bitmap | None, failed: Bitmap | None, level: int | None, own: int
                 ) -> Iterator[tuple[pa.Array, list[bytes], np.ndarray]]:
         """(languages, phrases, counts) of phrases that start among the first
-        ``own`` tokens, are countable under ``new`` and were not under
-        ``old`` (None: no pass before). Totals come as empty phrases."""
+        ``own`` tokens: of those that ``proposed`` makes countable, all or
+        one level's; with ``failed`` the longer ones around its phrases that
+        were not countable. Totals come with the words as empty phrases."""
         at = np.concatenate(self.parts)
         self.parts.clear()
         n = next(self.next)
@@ -162,29 +180,29 @@ class _Chunk:
         self.index.clear()
         dictionary = pa.array(langs, pa.binary())
         language = lambda k: dictionary.take(pa.array(k))
-        counts = np.bincount(at[:own], minlength=n)
-        if old is None:
+        if failed is None and level in (None, 1):
+            counts = np.bincount(at[:own], minlength=n)
             for i in range(1, n, _ROWS):
                 yield (language(lang_of[i:i + _ROWS]), names[i:i + _ROWS], counts[i:i + _ROWS])
             totals = np.bincount(lang_of[1:], weights=counts[1:], minlength=len(langs))
             yield dictionary, [b""] * len(langs), totals.astype(np.int64)
-        if new is None:
+        if level == 1:
             return
         stream = b" ".join(self.stream)
         self.stream.clear()
         gaps = np.flatnonzero(np.frombuffer(stream, np.uint8) == 32)
         begins = np.concatenate([[0], gaps + 1])
         ends = np.concatenate([gaps, [len(stream)]])
-        words = np.zeros(n, np.uint64)
-        words[1:] = word_hashes([langs[k] for k in lang_of[1:].tolist()], names[1:])
-        del names
-        # of each phrase of the level: hash, hash of its last word, whether
-        # proposed, whether counted and proposed in the pass before
-        hashes, last = words, words
-        alive = new.has(words)
-        before = old.has(words) if old is not None else np.zeros(n, bool)
-        alive[0] = before[0] = False
+        hashes = np.zeros(n, np.uint64)
+        hashes[1:] = word_hashes([langs[k] for k in lang_of[1:].tolist()], names[1:])
+        del names, gaps
+        # of each phrase of the level: hash, hash of its last word, whether it
+        # is countable and proposed, whether it holds a failure
+        last, known = hashes, proposed.has(hashes)
+        around = failed.has(hashes) if failed is not None else np.zeros(n, bool)
+        known[0] = around[0] = False
         for m in range(2, MAX_WORDS + 1):
+            alive = known | around
             starts = np.flatnonzero(alive[at[:-1]] & alive[at[1:]])
             if not len(starts):
                 return
@@ -196,35 +214,38 @@ class _Chunk:
             heads = place[fresh]
             del packed, pair, fresh
             first, second = at[heads], at[heads + 1]
-            counted = before[first] & before[second]
+            countable = known[first] & known[second]
             hashes = np.concatenate([[np.uint64(0)], longer_hash(hashes[first], last[second])])
             last = np.concatenate([[np.uint64(0)], last[second]])
             lang_of = np.concatenate([[np.int32(0)], lang_of[first]])
-            counts = np.bincount(ids[place < own], minlength=len(hashes))
-            out = np.flatnonzero((counts[1:] > 0) & ~counted)
-            for i in range(0, len(out), _ROWS):
-                some = out[i:i + _ROWS]
-                cut = zip(begins[heads[some]].tolist(), ends[heads[some] + m - 1].tolist())
-                yield language(lang_of[some + 1]), [stream[x:y] for x, y in cut], counts[some + 1]
-            if m == MAX_WORDS:
+            if level in (None, m):
+                counts = np.bincount(ids[place < own], minlength=len(hashes))
+                due = counts[1:] > 0
+                out = np.flatnonzero(due if failed is None else due & ~countable)
+                for i in range(0, len(out), _ROWS):
+                    some = out[i:i + _ROWS]
+                    cut = zip(begins[heads[some]].tolist(), ends[heads[some] + m - 1].tolist())
+                    yield (language(lang_of[some + 1]), [stream[x:y] for x, y in cut],
+                           counts[some + 1])
+            if m in (MAX_WORDS, level):
                 return
             at = np.zeros_like(at)
             at[place] = ids
-            alive = new.has(hashes)
-            before = np.concatenate([[False], counted])
-            if counted.any():
-                before &= old.has(hashes)
-            alive[0] = False
+            longer = around[first] | around[second]
+            if failed is not None:
+                longer |= countable & failed.has(hashes[1:])
+            known = np.concatenate([[False], countable & proposed.has(hashes[1:])])
+            around = np.concatenate([[False], longer])
 
 
-def _count_task(new, old) -> Callable:
-    """(lang, phrase, c) per distinct phrase and chunk; ``new`` and ``old``
-    are broadcast ``Proposed`` or None."""
+def _count_task(proposed=None, failed=None, level: int | None = None) -> Callable:
+    """(lang, phrase, c) per distinct phrase and chunk; the bitmaps are
+    broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [None if b is None else b.value for b in (new, old)]
+        bitmaps = [None if b is None else b.value for b in (proposed, failed)]
 
         def flush(chunk, own):
-            for langs, phrases, counts in chunk.phrases(*filters, own):
+            for langs, phrases, counts in chunk.phrases(*bitmaps, level, own):
                 yield pa.RecordBatch.from_pydict({
                     "lang": langs, "phrase": pa.array(phrases, pa.binary()),
                     "c": pa.array(counts, pa.int64())})
@@ -249,63 +270,67 @@ def _count_task(new, old) -> Callable:
     return run
 
 
-def _pass(texts: DataFrame, least: int, new, old) -> DataFrame:
-    """(lang, phrase, f) of the countable phrases with f >= least; written."""
-    rows = texts.mapInArrow(_count_task(new, old), "lang binary, phrase binary, c long")
+def _counted(texts: DataFrame, least: int, *task) -> DataFrame:
+    """(lang, phrase, f) of the phrases a task counts with f >= least, and the
+    totals; written."""
+    rows = texts.mapInArrow(_count_task(*task), "lang binary, phrase binary, c long")
     return written(rows.groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
                    .where((F.col("f") >= least) | (F.length("phrase") == 0)), "phrase-counts")
 
 
-def mine(texts: DataFrame, least: int, proposed: DataFrame | None = None
-         ) -> tuple[DataFrame, DataFrame, list[int]]:
-    """Every phrase of ``texts`` (lang, t) with at least ``least``
-    occurrences (lang, phrase, f), the words per language (lang, n), and the
-    failures found by each pass."""
-    spark = texts.sparkSession
-    new = old = None
-    found, failures = None, []
-    size = proposed.count() if proposed is not None else 0
-    if size:
-        new = spark.sparkContext.broadcast(bitmap_of(proposed, size))
-    while True:
-        counted = _pass(texts, least, new, old)
-        if found is None:
-            totals = counted.where(F.length("phrase") == 0).select(
-                "lang", F.col("f").alias("n"))
-            counted = found = counted.where(F.length("phrase") > 0)
-        else:
-            found = found.union(counted)
-        # border phrases that are frequent and can be the start of longer ones
-        failed = counted.where(_words(F.col("phrase")) < MAX_WORDS).select("lang", "phrase")
-        if proposed is not None:
-            failed = failed.join(proposed, ["lang", "phrase"], "left_anti")
-        failures.append(failed.count())
-        if not failures[-1]:
-            return found, totals, failures
-        proposed = failed if proposed is None else proposed.union(failed)
-        size += failures[-1]
-        # the pass before ran under ``new`` (without one it counted words only)
-        old = new if new is not None else spark.sparkContext.broadcast(
-            Proposed(8, np.zeros(1, np.uint8)))
-        new = spark.sparkContext.broadcast(bitmap_of(proposed, size))
-
-
-def _words(phrase):
-    return F.size(F.split(phrase.cast("string"), " "))
+def propose(sample: DataFrame, least: int) -> Bitmap:
+    """The phrases with at least ``least`` occurrences in ``sample`` (lang, t),
+    level by level: each level counts what the one before makes countable."""
+    spark = sample.sparkSession
+    found, n = [], 0
+    for level in range(1, MAX_WORDS):
+        shared = None
+        if level > 1:
+            bitmap = Bitmap(bits_for(n))
+            for level_rows in found:
+                bitmap.add(level_rows)
+            shared = spark.sparkContext.broadcast(bitmap)
+        rows = _counted(sample, least, shared, None, level).where(F.length("phrase") > 0)
+        if shared is not None:
+            shared.destroy()
+        size = rows.count()
+        if not size:
+            break
+        found.append(rows)
+        n += size
+    bitmap = Bitmap(bits_for(n))
+    for level_rows in found:
+        bitmap.add(level_rows)
+    return bitmap
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                      lang: str = "lang", least: int = LEAST, share: float = SAMPLE_SHARE
-                     ) -> tuple[DataFrame, DataFrame, list[int]]:
-    """As ``mine`` over all rows of ``docs``, a sample proposing."""
+                     ) -> tuple[DataFrame, DataFrame, int]:
+    """Every phrase with at least ``least`` occurrences (lang, phrase, f), the
+    words per language (lang, n), and the number of border failures."""
+    spark = docs.sparkSession
     language = F.coalesce(F.col(lang).cast("string"), F.lit("und")).cast("binary").alias("lang")
     texts = docs.select(language, text_bytes(text).alias("t"))
     drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_bytes(text)), F.lit(2**20))
     sample = written(docs.where(drawn < int(share * 2**20))
                      .select(language, text_bytes(text).alias("t")), "phrase-sample")
-    low = max(2, int(least * share * SAMPLE_LEAST))
-    proposed = mine(sample, low)[0].select("lang", "phrase")
-    return mine(texts, least, proposed)
+    proposed = spark.sparkContext.broadcast(
+        propose(sample, max(2, int(least * share * SAMPLE_LEAST))))
+    counted = _counted(texts, least, proposed)
+    totals = counted.where(F.length("phrase") == 0).select("lang", F.col("f").alias("n"))
+    found = counted.where(F.length("phrase") > 0)
+    failures = written(found.select("lang", "phrase").mapInArrow(
+        _outside_task(proposed), "lang binary, phrase binary"), "phrase-failures")
+    n = failures.count()
+    if n:
+        bitmap = Bitmap(bits_for(n))
+        bitmap.add(failures)
+        failed = spark.sparkContext.broadcast(bitmap)
+        found = found.union(_counted(texts, least, proposed, failed))
+        failed.destroy()
+    proposed.destroy()
+    return found, totals, n
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:
