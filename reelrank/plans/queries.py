@@ -238,6 +238,25 @@ def q_clean_text_entities(spark, d):
     return pages.select("page_id", clean_text(F.concat(head, F.coalesce("html", F.lit("")))).alias("text"))
 
 
+# Markup put before each page in turn, for ``clean_text_markup``.
+MARKUP_HEADS = (
+    '<a title="1>0">quoted</a> ', "<b a='x>y' >single</b> ", '<i a = "p>q"b=r>spaced</i> ',
+    "<p don't>it's</p> ", '<u t=op"en>never</u> shut ', "one<!-- > -- -->two<!---->three<!-->four ",
+    "<![CDATA[1 < 2 &amp; 3]]> kept ", "<SCRIPT s='>'>if (a</b) '</scrip>'</script >after ",
+    "<style>p > q</STYLE><scripty>plain</scripty> ", "1 < 2 &#99999999999999;and &#0065;&#x41; ")
+
+
+def q_clean_text_markup(spark, d):
+    """``clean_text`` over pages that begin with quoted >, odd comments, CDATA
+    and raw text, every seventh ending in a quote and a comment that never close."""
+    pages = table(spark, d, "pages")
+    heads = F.array(*[F.lit(h) for h in MARKUP_HEADS])
+    head = F.element_at(heads, (F.col("page_id") % len(MARKUP_HEADS) + 1).cast("int"))
+    tail = F.when(F.col("page_id") % 7 == 3, F.lit('end <u t="open>shut <!-- lost <b>x</b>')).otherwise("")
+    return pages.select("page_id", clean_text(
+        F.concat(head, F.coalesce("html", F.lit("")), tail)).alias("text"))
+
+
 def q_seen_pairs(spark, d):
     """Every (user, item) that a user has rated, as rows."""
     return ra.seen_items(_ratings(spark, d))
@@ -388,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "csv_rejects": q_csv_rejects,
     "item_similarity_min": q_item_similarity_min,
     "clean_text_entities": q_clean_text_entities,
+    "clean_text_markup": q_clean_text_markup,
     "seen_pairs": q_seen_pairs,
     "index_ids": q_index_ids,
     "index_ids_frequency": q_index_ids_frequency,

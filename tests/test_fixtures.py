@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from reelrank.functions.scalar import (blend_rating, class_to_label, class_to_score,
                                        round_ratio_half_up)
@@ -122,6 +123,42 @@ def test_character_references(spark, html, expected):
     assert df.select(clean_text("h").alias("c")).first().c == expected
 
 
+@pytest.mark.parametrize("html,expected", [
+    ('<a title="1>0">x</a>', "x"),
+    ("<b a='x>y' >q</b>", "q"),
+    ('<a title = "a>b"c>x<br/>y', "xy"),
+    ("<p don't>it's</p>", "it's"),
+    ('<a href=it"s>x"</a>', "x"),
+    ('<a title="never>x</a> y', "x y"),
+    ("a<!-- b > --c -->d<!---->e<!-->f<!--->g<!--h--!>i", "adefgi"),
+    ("a <!-- never ends <b>x</b>", "a"),
+    ("a<![CDATA[1 < 2 &amp; <b>]]>c &amp; d", "a1 < 2 &amp; <b>c & d"),
+    ("a<![CDATA[never", "anever"),
+    ("a<SCRIPT src='x>y'>if (a</b) '</scrip>' </script\n x='>'>b", "ab"),
+    ("a<style>p > q {}</STYLE>b<scripty>c</scripty>", "abc"),
+    ("a<script>never ends <p>x</p>", "a"),
+    ("a<template><p>x</p></template>b", "ab"),
+    ("<!DOCTYPE html><?xml version='1'?>a<!x>b", "ab"),
+    ("1 < 2 > 0 <3 a<b", "1 < 2 > 0 <3 a<b"),
+    ("a&#99999999999999999999;b&#x0000000041;c&#00065;", "abAcA"),
+    ("a" + "<b x='1' y>" * 3000 + "z", "az"),
+    ("a<b " + "\"'" * 20000 + ">z", "az"),
+    ("a<b " + "x='" * 20001, "a<b " + "x='" * 20001),
+])
+def test_markup_tokens(spark, html, expected):
+    df = spark.createDataFrame([(html,)], "h string")
+    assert df.select(clean_text("h").alias("c")).first().c == expected
+
+
+def test_every_name_is_decoded(spark):
+    from html.entities import html5
+
+    from reelrank.functions.text import decode_references
+    df = spark.createDataFrame(list(html5.items()), "name string, text string")
+    got = df.select("name", "text", decode_references(F.concat(F.lit("&"), "name")).alias("d"))
+    assert [r.name for r in got.collect() if r.d != r.text] == []
+
+
 def test_tile_plan_follows_the_data_alone():
     from reelrank.operators import neighbours as nb
     assert nb._block_counts(58_000, 2_000, 2048, 1_000_000) == (8, 1)
