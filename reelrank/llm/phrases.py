@@ -11,11 +11,13 @@ as all its parts are frequent too, so an expansion pass counts every longer
 phrase around a failure whose parts may be frequent; after it nothing can be
 missing.
 
-Proposals reach the tasks as a bitmap of phrase hashes with at most
-``MAX_BITS`` bits. Hashes that collide only make a pass count some phrases
-more, so counts and results are exact at any size and the broadcast stays
-bounded. Tasks count in chunks and send one row per distinct phrase and
-chunk; phrases travel as text.
+That pass counts 61-bit hashes. The phrases of all hashes that are frequent,
+and the longer ones around failures, are counted by their text in the
+expansion pass, so equal hashes of different phrases cost a little work and
+change no count. Sets of hashes reach the tasks as bitmaps of at most
+``MAX_BITS`` bits, whose collisions are harmless in the same way: results are
+exact at any size and what is broadcast stays bounded. Tasks count in chunks
+and send one row per distinct phrase and chunk.
 
 Cases: null and empty texts have no words; a null language counts as
 ``und``; rows with equal or null ids and repeated rows count each; a text may
@@ -67,18 +69,6 @@ def longer_hash(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def phrase_hashes(langs: list[bytes], phrases: list[bytes]) -> np.ndarray:
-    words = [p.split(b" ") for p in phrases]
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    each = word_hashes([a for a, w in zip(langs, words) for _ in w], [x for w in words for x in w])
-    first = np.cumsum(size) - size
-    hashes = each[first] if len(size) else each
-    for k in range(1, int(size.max(initial=0))):
-        on = size > k
-        hashes[on] = longer_hash(hashes[on], each[first[on] + k])
-    return hashes
-
-
 class Bitmap:
     """A set of phrase hashes: no false negatives."""
 
@@ -91,10 +81,10 @@ class Bitmap:
         return (self.bitmap[(at >> np.uint64(3)).astype(np.int64)]
                 >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    def add(self, phrases: DataFrame) -> None:
-        """The (lang, phrase) rows; what is collected is the bitmap's blocks."""
-        places = phrases.select("lang", "phrase").mapInArrow(_places_task(self.shift), "at long")
-        blocks = (places.groupBy(F.shiftright("at", 15).alias("block"))
+    def add(self, keys: DataFrame) -> None:
+        """The hashes of (key) rows; what is collected is the bitmap's blocks."""
+        at = F.shiftrightunsigned("key", self.shift)
+        blocks = (keys.select(at.alias("at")).groupBy(F.shiftright("at", 15).alias("block"))
                   .agg(F.bitmap_construct_agg(F.col("at").bitwiseAND(32767)).alias("map")))
         for r in blocks.collect():
             part = slice(r["block"] * 4096, (r["block"] + 1) * 4096)
@@ -108,24 +98,14 @@ def bits_for(phrases: int) -> int:
     return bits
 
 
-def _places_task(shift: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = phrase_hashes(*(c.to_pylist() for c in batch.columns))
-            yield pa.RecordBatch.from_pydict({
-                "at": pa.array((hashes >> np.uint64(shift)).astype(np.int64))})
-    return run
-
-
 def _outside_task(proposed) -> Callable:
-    """The (lang, phrase) rows that are not in a broadcast bitmap and can be
-    part of a longer phrase."""
+    """The keys that are not in a broadcast bitmap and can be part of a longer
+    phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, phrases = (c.to_pylist() for c in batch.columns)
-            short = np.fromiter((p.count(b" ") < MAX_WORDS - 1 for p in phrases), bool, len(phrases))
-            out = short & ~proposed.value.has(phrase_hashes(langs, phrases))
-            yield batch.filter(pa.array(out))
+            keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            short = keys & np.uint64(7) < MAX_WORDS
+            yield batch.filter(pa.array(short & ~proposed.value.has(keys)))
     return run
 
 
@@ -150,6 +130,7 @@ class _Chunk:
         self.index: dict[bytes, dict[bytes, int]] = {}
         self.parts: list[np.ndarray] = []
         self.stream: list[bytes] = []  # the tokens again, to cut phrases from
+        self.begins: np.ndarray | None = None
         self.size = 0
 
     def add(self, lang: bytes, tokens: list[bytes]) -> None:
@@ -161,12 +142,8 @@ class _Chunk:
         self.stream.append(b" ".join(tokens))
         self.size += len(tokens)
 
-    def phrases(self, proposed: Bitmap | None, failed: Bitmap | None, level: int | None, own: int
-                ) -> Iterator[tuple[pa.Array, list[bytes], np.ndarray]]:
-        """(languages, phrases, counts) of phrases that start among the first
-        ``own`` tokens: of those that ``proposed`` makes countable, all or
-        one level's; with ``failed`` the longer ones around its phrases that
-        were not countable. Totals come with the words as empty phrases."""
+    def _words(self) -> tuple[np.ndarray, list[bytes], np.ndarray, list[bytes]]:
+        """Token ids, and of each id its word and the place of its language."""
         at = np.concatenate(self.parts)
         self.parts.clear()
         n = next(self.next)
@@ -178,24 +155,27 @@ class _Chunk:
                     names[i] = w
             lang_of[[i for i in index.values() if i]] = k
         self.index.clear()
-        dictionary = pa.array(langs, pa.binary())
-        language = lambda k: dictionary.take(pa.array(k))
-        if failed is None and level in (None, 1):
-            counts = np.bincount(at[:own], minlength=n)
-            for i in range(1, n, _ROWS):
-                yield (language(lang_of[i:i + _ROWS]), names[i:i + _ROWS], counts[i:i + _ROWS])
-            totals = np.bincount(lang_of[1:], weights=counts[1:], minlength=len(langs))
-            yield dictionary, [b""] * len(langs), totals.astype(np.int64)
-        if level == 1:
-            return
-        stream = b" ".join(self.stream)
-        self.stream.clear()
-        gaps = np.flatnonzero(np.frombuffer(stream, np.uint8) == 32)
-        begins = np.concatenate([[0], gaps + 1])
-        ends = np.concatenate([gaps, [len(stream)]])
+        return at, names, lang_of, langs
+
+    def phrases(self, proposed: Bitmap | None, own: int, level: int | None = None,
+                failed: Bitmap | None = None) -> Iterator[tuple]:
+        """(m, hashes, counts, place, first token, countable, language) of the
+        phrases of m words that start among the first ``own`` tokens: of those
+        that ``proposed`` makes countable, all or one level's; with ``failed``
+        also the longer ones around its phrases (not countable)."""
+        at, names, lang_of, langs = self._words()
+        self.langs = langs
+        n = len(names)
         hashes = np.zeros(n, np.uint64)
         hashes[1:] = word_hashes([langs[k] for k in lang_of[1:].tolist()], names[1:])
-        del names, gaps
+        del names
+        counts, heads = np.bincount(at[:own], minlength=n), np.zeros(n, np.int64)
+        heads[at[::-1]] = np.arange(len(at))[::-1]
+        self.totals = np.bincount(lang_of[1:], weights=counts[1:], minlength=len(langs))
+        if level in (None, 1):
+            yield 1, hashes[1:], counts[1:], heads[1:], np.ones(n - 1, bool), lang_of[1:]
+        if level == 1:
+            return
         # of each phrase of the level: hash, hash of its last word, whether it
         # is countable and proposed, whether it holds a failure
         last, known = hashes, proposed.has(hashes)
@@ -220,13 +200,7 @@ class _Chunk:
             lang_of = np.concatenate([[np.int32(0)], lang_of[first]])
             if level in (None, m):
                 counts = np.bincount(ids[place < own], minlength=len(hashes))
-                due = counts[1:] > 0
-                out = np.flatnonzero(due if failed is None else due & ~countable)
-                for i in range(0, len(out), _ROWS):
-                    some = out[i:i + _ROWS]
-                    cut = zip(begins[heads[some]].tolist(), ends[heads[some] + m - 1].tolist())
-                    yield (language(lang_of[some + 1]), [stream[x:y] for x, y in cut],
-                           counts[some + 1])
+                yield m, hashes[1:], counts[1:], heads, countable, lang_of[1:]
             if m in (MAX_WORDS, level):
                 return
             at = np.zeros_like(at)
@@ -237,71 +211,104 @@ class _Chunk:
             known = np.concatenate([[False], countable & proposed.has(hashes[1:])])
             around = np.concatenate([[False], longer])
 
-
-def _count_task(proposed=None, failed=None, level: int | None = None) -> Callable:
-    """(lang, phrase, c) per distinct phrase and chunk; the bitmaps are
-    broadcast."""
+    def texts(self, m: int, heads: np.ndarray) -> list[bytes]:
+        """The phrases of m words that start at the given tokens."""
+        if self.begins is None:
+            stream = b" ".join(self.stream)
+            self.stream = [stream]
+            gaps = np.flatnonzero(np.frombuffer(stream, np.uint8) == 32)
+            self.begins = np.concatenate([[0], gaps + 1])
+            self.ends = np.concatenate([gaps, [len(stream)]])
+        stream = self.stream[0]
+        cut = zip(self.begins[heads].tolist(), self.ends[heads + m - 1].tolist())
+        return [stream[x:y] for x, y in cut]
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Chunk, int]]:
+    """Chunks of the (lang, t) rows, each with the number of tokens at which
+    its own phrases start."""
+    chunk = _Chunk()
+    for batch in batches:
+        for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            tail = []
+            for tokens in tokens_of(t):
+                chunk.add(lang, tokens)
+                # phrases that start in the last words of an unended text
+                # belong to the next chunk
+                ended = tokens[-1] == b"\n"
+                tail = [] if ended else (tail + tokens[1 - MAX_WORDS:])[1 - MAX_WORDS:]
+                if chunk.size >= CHUNK_TOKENS:
+                    yield chunk, chunk.size - len(tail)
+                    chunk = _Chunk()
+                    if tail:
+                        chunk.add(lang, tail)
+    if chunk.size:
+        yield chunk, chunk.size
+
+
+def _hash_task(proposed=None, level: int | None = None) -> Callable:
+    """(key, c) per distinct phrase and chunk: the hash, its last three bits
+    the number of words. The bitmap is broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps = [None if b is None else b.value for b in (proposed, failed)]
-
-        def flush(chunk, own):
-            for langs, phrases, counts in chunk.phrases(*bitmaps, level, own):
+        bitmap = None if proposed is None else proposed.value
+        for chunk, own in _chunks(batches):
+            for m, hashes, counts, *_ in chunk.phrases(bitmap, own, level):
+                some = counts > 0
+                keys = (hashes[some] & ~np.uint64(7)) | np.uint64(m)
                 yield pa.RecordBatch.from_pydict({
-                    "lang": langs, "phrase": pa.array(phrases, pa.binary()),
-                    "c": pa.array(counts, pa.int64())})
+                    "key": pa.array(keys.view(np.int64)), "c": pa.array(counts[some], pa.int64())})
+    return run
 
-        chunk = _Chunk()
-        for batch in batches:
-            for lang, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tail = []
-                for tokens in tokens_of(t):
-                    chunk.add(lang, tokens)
-                    # phrases that start in the last words of an unended text
-                    # belong to the next chunk
-                    ended = tokens[-1] == b"\n"
-                    tail = [] if ended else (tail + tokens[1 - MAX_WORDS:])[1 - MAX_WORDS:]
-                    if chunk.size >= CHUNK_TOKENS:
-                        yield from flush(chunk, chunk.size - len(tail))
-                        chunk = _Chunk()
-                        if tail:
-                            chunk.add(lang, tail)
-        if chunk.size:
-            yield from flush(chunk, chunk.size)
+
+def _text_task(proposed, frequent, failed) -> Callable:
+    """(lang, phrase, c) per distinct phrase and chunk: of countable ones those
+    in ``frequent``, of others those around failures; each language's words
+    come as an empty phrase. The bitmaps are broadcast."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(langs, phrases, counts):
+            return pa.RecordBatch.from_pydict({
+                "lang": langs, "phrase": pa.array(phrases, pa.binary()),
+                "c": pa.array(counts, pa.int64())})
+
+        for chunk, own in _chunks(batches):
+            for m, hashes, counts, heads, countable, lang_of in chunk.phrases(
+                    proposed.value, own, failed=failed.value):
+                langs = pa.array(chunk.langs, pa.binary())
+                out = np.flatnonzero((counts > 0) & (~countable | frequent.value.has(hashes)))
+                for i in range(0, len(out), _ROWS):
+                    some = out[i:i + _ROWS]
+                    yield rows(langs.take(pa.array(lang_of[some])), chunk.texts(m, heads[some]),
+                               counts[some])
+            yield rows(pa.array(chunk.langs, pa.binary()), [b""] * len(chunk.langs),
+                       chunk.totals.astype(np.int64))
     return run
 
 
-def _counted(texts: DataFrame, least: int, *task) -> DataFrame:
-    """(lang, phrase, f) of the phrases a task counts with f >= least, and the
-    totals; written."""
-    rows = texts.mapInArrow(_count_task(*task), "lang binary, phrase binary, c long")
-    return written(rows.groupBy("lang", "phrase").agg(F.sum("c").alias("f"))
-                   .where((F.col("f") >= least) | (F.length("phrase") == 0)), "phrase-counts")
+def _frequent_keys(texts: DataFrame, least: int, proposed, level: int | None = None) -> DataFrame:
+    rows = texts.mapInArrow(_hash_task(proposed, level), "key long, c long")
+    return written(rows.groupBy("key").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
+                   .select("key"), "phrase-keys")
+
+
+def _bitmap(tables: list[DataFrame]) -> Bitmap:
+    bitmap = Bitmap(bits_for(sum(t.count() for t in tables)))
+    for t in tables:
+        bitmap.add(t)
+    return bitmap
 
 
 def propose(sample: DataFrame, least: int) -> Bitmap:
     """The phrases with at least ``least`` occurrences in ``sample`` (lang, t),
     level by level: each level counts what the one before makes countable."""
-    spark = sample.sparkSession
-    found, n = [], 0
+    share, found = sample.sparkSession.sparkContext.broadcast, []
     for level in range(1, MAX_WORDS):
-        shared = None
-        if level > 1:
-            bitmap = Bitmap(bits_for(n))
-            for level_rows in found:
-                bitmap.add(level_rows)
-            shared = spark.sparkContext.broadcast(bitmap)
-        rows = _counted(sample, least, shared, None, level).where(F.length("phrase") > 0)
-        if shared is not None:
-            shared.destroy()
-        size = rows.count()
-        if not size:
+        proposed = share(_bitmap(found)) if found else None
+        found.append(_frequent_keys(sample, least, proposed, level))
+        if proposed is not None:
+            proposed.destroy()
+        if found[-1].isEmpty():
             break
-        found.append(rows)
-        n += size
-    bitmap = Bitmap(bits_for(n))
-    for level_rows in found:
-        bitmap.add(level_rows)
-    return bitmap
+    return _bitmap(found)
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -309,28 +316,25 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text: str = "text"
                      ) -> tuple[DataFrame, DataFrame, int]:
     """Every phrase with at least ``least`` occurrences (lang, phrase, f), the
     words per language (lang, n), and the number of border failures."""
-    spark = docs.sparkSession
+    send = docs.sparkSession.sparkContext.broadcast
     language = F.coalesce(F.col(lang).cast("string"), F.lit("und")).cast("binary").alias("lang")
     texts = docs.select(language, text_bytes(text).alias("t"))
     drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_bytes(text)), F.lit(2**20))
     sample = written(docs.where(drawn < int(share * 2**20))
                      .select(language, text_bytes(text).alias("t")), "phrase-sample")
-    proposed = spark.sparkContext.broadcast(
-        propose(sample, max(2, int(least * share * SAMPLE_LEAST))))
-    counted = _counted(texts, least, proposed)
-    totals = counted.where(F.length("phrase") == 0).select("lang", F.col("f").alias("n"))
-    found = counted.where(F.length("phrase") > 0)
-    failures = written(found.select("lang", "phrase").mapInArrow(
-        _outside_task(proposed), "lang binary, phrase binary"), "phrase-failures")
-    n = failures.count()
-    if n:
-        bitmap = Bitmap(bits_for(n))
-        bitmap.add(failures)
-        failed = spark.sparkContext.broadcast(bitmap)
-        found = found.union(_counted(texts, least, proposed, failed))
-        failed.destroy()
-    proposed.destroy()
-    return found, totals, n
+    proposed = send(propose(sample, max(2, int(least * share * SAMPLE_LEAST))))
+    keys = _frequent_keys(texts, least, proposed)
+    failures = written(keys.mapInArrow(_outside_task(proposed), "key long"), "phrase-failures")
+    frequent, failed = send(_bitmap([keys])), send(_bitmap([failures]))
+    rows = texts.mapInArrow(_text_task(proposed, frequent, failed),
+                            "lang binary, phrase binary, c long")
+    counted = written(rows.groupBy("lang", "phrase").agg(F.sum("c").alias("f")).where(
+        (F.col("f") >= least) | (F.length("phrase") == 0)), "phrase-counts")
+    for bitmap in (proposed, frequent, failed):
+        bitmap.destroy()
+    return (counted.where(F.length("phrase") > 0),
+            counted.where(F.length("phrase") == 0).select("lang", F.col("f").alias("n")),
+            failures.count())
 
 
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:

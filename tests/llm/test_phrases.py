@@ -100,60 +100,101 @@ def test_a_good_sample_needs_no_second_pass(spark):
     assert phrases.frequent_phrases(frame(spark, rows), least=100, share=0.5)[2] == 0
 
 
-def run_task(rows, *bitmaps, level=None):
-    class Value:
-        def __init__(self, value):
-            self.value = value
+class Value:
+    def __init__(self, value):
+        self.value = value
 
-    batch = pa.RecordBatch.from_pydict({
+
+class Only:
+    """A bitmap of a few phrases."""
+
+    def __init__(self, *names):
+        self.hashes = [hash_of("en", x) for x in names]
+
+    def has(self, hashes):
+        return np.isin(hashes, self.hashes)
+
+
+EVERY = phrases.Bitmap(8, np.full(1, 255, np.uint8))
+
+
+def hash_of(lang, phrase):
+    words = phrase.encode().split(b" ")
+    each = phrases.word_hashes([lang.encode()] * len(words), words)
+    out = each[:1]
+    for x in each[1:]:
+        out = phrases.longer_hash(out, np.array([x]))
+    return out[0]
+
+
+def batch_of(rows):
+    return pa.RecordBatch.from_pydict({
         "lang": pa.array([a.encode() for a, _ in rows], pa.binary()),
         "t": pa.array([t.encode() for _, t in rows], pa.binary())})
+
+
+def by_text(rows, proposed, frequent, failed):
     out = Counter()
-    shared = [b and Value(b) for b in (*bitmaps, None, None)[:2]]
-    for b in phrases._count_task(*shared, level)([batch]):
+    for b in phrases._text_task(*map(Value, (proposed, frequent, failed)))([batch_of(rows)]):
         for lang, p, c in zip(*(x.to_pylist() for x in b.columns)):
             out[lang.decode(), p.decode()] += c
     return out
 
 
+def by_hash(rows, proposed, level=None):
+    out = Counter()
+    for b in phrases._hash_task(Value(proposed), level)([batch_of(rows)]):
+        for k, c in zip(*(x.to_pylist() for x in b.columns)):
+            out[k] += c
+    return out
+
+
+def key_of(lang, p):
+    return int(np.array([(int(hash_of(lang, p)) & ~7) | len(p.split(" "))], np.uint64).view(np.int64)[0])
+
+
 def test_long_texts_are_counted_across_chunks(monkeypatch):
-    every = phrases.Bitmap(8, np.full(1, 255, np.uint8))
     rows = [("en", t or "") for _, t in ODD] + [("fr", "a b c d e f g " * 50)]
     f, n = counted(rows)
+    keys = Counter({key_of(*k): c for k, c in f.items()})
     f.update({(k, ""): v for k, v in n.items() if v})
-    assert run_task(rows, every) == f
-    for tokens, slices in ((40, 30), (7, 1), (1000, 100)):
+    for tokens, slices in ((10**6, 10**6), (40, 30), (7, 1), (1000, 100)):
         monkeypatch.setattr(phrases, "CHUNK_TOKENS", tokens)
         monkeypatch.setattr(phrases, "SLICE_BYTES", slices)
-        assert run_task(rows, every) == f
-
-
-class Only:
-    def __init__(self, *names):
-        self.hashes = phrases.phrase_hashes([b"en"] * len(names), [x.encode() for x in names])
-
-    def has(self, hashes):
-        return np.isin(hashes, self.hashes)
+        assert by_text(rows, EVERY, EVERY, EVERY) == f
+        assert by_hash(rows, EVERY) == keys
 
 
 def test_passes_count_the_border_and_then_around_failures():
     rows = [("en", "a b c a b c a b d")]
-    first = run_task(rows, Only("a", "b"))
-    assert {k[1] for k in first if " " in k[1]} == {"a b"}
-    assert run_task(rows, Only("a", "b"), level=2) == Counter({("en", "a b"): 3})
-    second = run_task(rows, Only("a", "b"), Only("c", "a b"))
-    assert second == Counter({
-        ("en", "b c"): 2, ("en", "c a"): 2, ("en", "a b c"): 2, ("en", "b c a"): 2,
-        ("en", "c a b"): 2, ("en", "a b c a"): 2, ("en", "b c a b"): 2, ("en", "c a b c"): 1,
-        ("en", "a b c a b"): 2, ("en", "b c a b c"): 1, ("en", "c a b c a"): 1})
+    words = {"a": 3, "b": 3, "c": 2, "d": 1}
+    key = lambda x: {key_of("en", p): c for p, c in x.items()}
+    assert by_hash(rows, Only("a", "b")) == key({**words, "a b": 3})
+    assert by_hash(rows, None, level=1) == key(words)
+    assert by_hash(rows, Only("a", "b"), level=2) == key({"a b": 3})
+    second = by_text(rows, Only("a", "b"), Only("a", "b", "c", "a b"), Only("c", "a b"))
+    assert second == Counter({("en", p): c for p, c in {
+        "": 9, "a": 3, "b": 3, "c": 2, "a b": 3, "b c": 2, "c a": 2, "a b c": 2, "b c a": 2,
+        "c a b": 2, "a b c a": 2, "b c a b": 2, "c a b c": 1, "a b c a b": 2, "b c a b c": 1,
+        "c a b c a": 1, "a b d": 0, "c a b d": 0}.items() if c})
+
+
+def test_equal_hashes_do_not_change_counts(spark, monkeypatch):
+    # every phrase has one of sixteen hashes: most of what is counted by hash
+    # is wrong, what is returned is not
+    monkeypatch.setattr(phrases, "longer_hash", lambda a, b: (a + b) & np.uint64(0xF0 << 56))
+    rows = texts(8)
+    batch = [(("und" if lang is None else lang), t or "") for _, lang, t in rows]
+    f, n = counted(batch)
+    f.update({(k, ""): v for k, v in n.items() if v})
+    assert by_text(batch, EVERY, EVERY, EVERY) == f
 
 
 def test_bitmap_agrees_with_the_tasks_hash(spark):
-    rows = [(b"en", f"w{i} \u00fc{i}".encode()) for i in range(500)]
+    keys = [key_of("en", f"w{i} \u00fc{i}") for i in range(500)]
     bitmap = phrases.Bitmap(phrases.bits_for(250))
-    bitmap.add(spark.createDataFrame([tuple(map(bytearray, r)) for r in rows[::2]],
-                                     "lang binary, phrase binary"))
-    has = bitmap.has(phrases.phrase_hashes(*map(list, zip(*rows))))
+    bitmap.add(spark.createDataFrame([(k,) for k in keys[::2]], "key long"))
+    has = bitmap.has(np.array(keys).view(np.uint64))
     assert has[::2].all() and has[1::2].mean() < 0.05
 
 
