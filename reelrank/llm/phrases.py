@@ -28,7 +28,7 @@ rows, as does an empty table; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from itertools import count
 
@@ -47,7 +47,7 @@ SAMPLE_SHARE, SAMPLE_LEAST = 1 / 16, 0.64
 BITS_EACH, MAX_BITS = 32, 2**28
 # tokens counted at a time (fewer than 2^21 with one slice more), bytes of a slice
 CHUNK_TOKENS, SLICE_BYTES = 600_000, 1_000_000
-_ROWS = 50_000
+_ROWS, _HELD = 50_000, 400_000
 
 _BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 _TABLE = bytes.maketrans(
@@ -265,22 +265,34 @@ def _text_task(proposed, frequent, failed) -> Callable:
     in ``frequent``, of others those around failures; each language's words
     come as an empty phrase. The bitmaps are broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(langs, phrases, counts):
-            return pa.RecordBatch.from_pydict({
-                "lang": langs, "phrase": pa.array(phrases, pa.binary()),
-                "c": pa.array(counts, pa.int64())})
-
+        def rows():
+            for lang, counts in held.items():
+                phrases = list(counts)
+                for i in range(0, len(phrases), _ROWS):
+                    some = phrases[i:i + _ROWS]
+                    yield pa.RecordBatch.from_pydict({
+                        "lang": pa.array([lang] * len(some), pa.binary()),
+                        "phrase": pa.array(some, pa.binary()),
+                        "c": pa.array([counts[p] for p in some], pa.int64())})
+            held.clear()
+
+        held: dict[bytes, Counter] = {}  # what several chunks repeat leaves once
         for chunk, own in _chunks(batches):
             for m, hashes, counts, heads, countable, lang_of in chunk.phrases(
                     proposed.value, own, failed=failed.value):
-                langs = pa.array(chunk.langs, pa.binary())
                 out = np.flatnonzero((counts > 0) & (~countable | frequent.value.has(hashes)))
-                for i in range(0, len(out), _ROWS):
-                    some = out[i:i + _ROWS]
-                    yield rows(langs.take(pa.array(lang_of[some])), chunk.texts(m, heads[some]),
-                               counts[some])
-            yield rows(pa.array(chunk.langs, pa.binary()), [b""] * len(chunk.langs),
-                       chunk.totals.astype(np.int64))
+                for k, lang in enumerate(chunk.langs):
+                    some = out[lang_of[out] == k] if len(chunk.langs) > 1 else out
+                    into = held.setdefault(lang, Counter())
+                    for i in range(0, len(some), _ROWS):
+                        part = some[i:i + _ROWS]
+                        for p, c in zip(chunk.texts(m, heads[part]), counts[part].tolist()):
+                            into[p] += c
+            for lang, c in zip(chunk.langs, chunk.totals.tolist()):
+                held.setdefault(lang, Counter())[b""] += int(c)
+            if sum(map(len, held.values())) > _HELD:
+                yield from rows()
+        yield from rows()
     return run
 
 
