@@ -70,17 +70,21 @@ def skew_lookup(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
                       *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in values])
 
 
-def commonest(counts: DataFrame, count: str, limit: int) -> DataFrame:
+def commonest(counts: DataFrame, count: str, limit: int, key: str = "word") -> DataFrame:
     """The rows of a written ``counts`` table with the largest ``count``, at
-    most ``limit``: those from the least power of 2^(1/16) on that no more
-    than ``limit`` rows reach. A histogram of some hundred numbers finds it,
-    so no task sends ``limit`` rows of its own."""
+    most ``limit``: those above a power of 2^(1/16), and of the rows between
+    it and the next lower one as many as still fit, drawn by a hash of
+    ``key``. A histogram of some hundred numbers finds the power, so no task
+    sends ``limit`` rows of its own."""
     step = F.floor(F.log2(count) * 16).cast("int")
-    cut, held = None, 0
+    cut, share, held = 0, 0.0, 0
     for r in sorted(counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect(),
                     key=lambda r: -r["s"]):
-        held += r["n"]
-        if held > limit:
+        cut, share = r["s"], 1.0
+        if held + r["n"] > limit:
+            room = limit - held  # less six standard deviations of the draw
+            share = max(0.0, room - 6 * room ** 0.5) / r["n"]
             break
-        cut = r["s"]
-    return counts.where(step >= cut) if cut is not None else counts.limit(0)
+        held += r["n"]
+    drawn = F.shiftrightunsigned(F.xxhash64(key), 11) < F.lit(int(share * 2**53))
+    return counts.where((step > cut) | ((step == cut) & drawn))

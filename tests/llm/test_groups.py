@@ -11,6 +11,7 @@ import pytest
 import xxhash
 
 from reelrank.llm import exact_dedup, lm, simhash, toxicity
+from reelrank.llm import common
 from reelrank.llm.components import star_components
 from tests.llm.conftest import ODD
 
@@ -208,7 +209,8 @@ def test_rare_words_meet_their_counts(odd, monkeypatch):
     whole = sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6))
                    for r in lm.score(odd, lm.train(odd)).collect())
     monkeypatch.setattr(lm, "HEAD", 5)
-    monkeypatch.setattr(lm, "WORDS", 4)
+    monkeypatch.setattr(lm, "LEAST_WORDS", 4)
+    monkeypatch.setattr(lm, "WORDS_PER_ROOT", 0)
     few = sorted((str(r["doc_id"]), r["n_known"], round(r["base_score"], 6))
                  for r in lm.score(odd, lm.train(odd)).collect())
     assert whole == few
@@ -241,7 +243,7 @@ def test_network_meets_every_training_row(make, monkeypatch, tmp_path):
 
     monkeypatch.setattr(lm, "_train_task", fake)
     monkeypatch.setattr(lm, "SHARD_TOKENS", 30_000)
-    lm.train(make(rows), rounds=1)
+    lm.train(make(rows))
     met = [int(f.read_text()) for f in tmp_path.iterdir()]
     assert sum(met) == n
     assert len(met) > 5 and max(met) < 2.5 * n / len(met)
@@ -263,6 +265,46 @@ def test_gradient_matches_differences():
         assert abs((up - value) / 2e-2 - grads.theta[p]) < 2e-2
 
 
+def test_recurrent_gradients_match_differences():
+    net = lm.Network(30, np.random.default_rng(0).normal(
+        0, 0.4, len(lm.Network(30, width=4).theta)), width=4)
+    trainer = lm.Trainer(net, 3)
+    trainer.grads = lm.Network(30, np.zeros_like(net.theta), width=4)
+    ids = np.random.default_rng(1).integers(0, 30, (6, 3))
+    start = np.random.default_rng(2).normal(0, 0.5, (3, 4))
+
+    def loss():
+        h, total, table = start.copy(), 0.0, net.inputs()
+        for x, y in zip(ids[:-1], ids[1:]):
+            h, _ = net.step(table[x], h)
+            total -= net.output(h, y).sum()
+        return total
+
+    trainer.window(ids[:-1], ids[1:], start)
+    for p in range(0, len(net.theta), 11):
+        keep = net.theta[p]
+        net.theta[p] = keep + 1e-3
+        up = loss()
+        net.theta[p] = keep - 1e-3
+        down = loss()
+        net.theta[p] = keep
+        assert abs((up - down) / 2e-3 - trainer.grads.theta[p]) < 1e-2 * max(1, abs(up - down) / 2e-3)
+
+
+def test_the_network_knows_more_words_of_more_distinct_ones():
+    sizes = [lm.network_words(v) for v in (0, 10**6, 10**8, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == lm.LEAST_WORDS and sizes[-1] < 2**16
+
+
+def test_equally_rare_words_are_not_all_dropped(spark):
+    counts = spark.range(3000).selectExpr("cast(id as string) as word", "cast(1 as long) as c")
+    top = spark.createDataFrame([("top", 50)], "word string, c long")
+    got = [r["word"] for r in common.commonest(counts.union(top), "c", 1000).collect()]
+    assert "top" in got and 700 < len(got) <= 1000 and len(set(got)) == len(got)
+    assert common.commonest(counts, "c", 3000).count() == 3000
+    assert common.commonest(counts.limit(0), "c", 10).count() == 0
+
+
 def test_windows_carry_the_state():
     net = lm.Network(50, counts=np.ones(50))
     net.theta += np.random.default_rng(3).normal(0, 0.3, len(net.theta)).astype(np.float32)
