@@ -3,6 +3,11 @@ DataFrames (averaged per-id gradients, lineage cut every round)."""
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelrank.functions.hashing import unit_hash
@@ -10,15 +15,21 @@ from reelrank.functions.scalar import clamp_score, dot_literal, round_score
 from reelrank.operators.prepare import apply_index, index_ids, train_test_split
 from reelrank.operators.rank import top_n
 from reelrank.operators.ratings import exclude_seen
-from reelrank.session import cut_lineage
-from reelrank.sizing import DEFAULT_BROADCAST_ROWS, block_count, broadcast_row_bound
+from reelrank.session import cut_lineage, write_bucketed
+from reelrank.sizing import (DEFAULT_BROADCAST_ROWS, block_count, broadcast_row_bound,
+                             sized_broadcast)
 
 USER, ITEM, RATING = "userId", "itemId", "rating"
 # A factor row carries rank doubles (~100 bytes at rank 10): a tighter
 # broadcast bound than for key-only tables.
 FACTOR_BROADCAST_ROWS = 500_000
-# Ratings per ALS block.
+# Ratings per ALS block on either side: blocks pair up, so there are as many
+# of them as the square root of the ratings over this.
 ALS_BLOCK_ROWS = 100_000
+# Ratings of one block of gradient descent, and blocks at least.
+MF_BLOCK_ROWS, MF_MIN_BLOCKS = 1_000_000, 8
+# buckets at most (Spark's own limit is twice that); a bucket may hold several blocks
+MAX_BUCKETS = 50_000
 REC_SCHEMA = "userId long, itemId long, totalScore double"
 
 
@@ -31,7 +42,7 @@ def als_fit(ratings: DataFrame, rank: int = 10, max_iter: int = 10, reg: float =
     from pyspark.ml.recommendation import ALS
 
     spark = ratings.sparkSession
-    blocks = blocks or block_count(ratings.count(), ALS_BLOCK_ROWS)
+    blocks = blocks or max(1, math.isqrt(block_count(ratings.count(), ALS_BLOCK_ROWS)))
     data = ratings.select(F.col(USER).cast("int").alias(USER),
                           F.col(ITEM).cast("int").alias(ITEM),
                           F.col(RATING).cast("float").alias(RATING))
@@ -139,13 +150,16 @@ def rating_rmse(ratings: DataFrame, test_fraction: float = 0.2, seed: int = 42,
 
 # ---------------------------------------------------------- gradient descent
 
+def _start(key: str, rank: int, seed: int) -> Column:
+    salt = 0 if key == USER else 7919
+    return F.array(*[unit_hash(["id", F.lit(k)], seed + salt) for k in range(rank)])
+
+
 def mf_init(ratings: DataFrame, key: str, rank: int = 10, seed: int = 42) -> DataFrame:
     """id, features: uniform [0, 1) start factors from a hash of
     (seed, id, position), so a retried task rebuilds the same values."""
     ids = ratings.select(F.col(key).alias("id")).distinct()
-    salt = 0 if key == USER else 7919
-    return ids.select("id", F.array(*[unit_hash(["id", F.lit(k)], seed + salt)
-                                      for k in range(rank)]).alias("features"))
+    return ids.select("id", _start(key, rank, seed).alias("features"))
 
 
 def _dot(a: Column, b: Column, rank: int) -> Column:
@@ -163,29 +177,84 @@ def _errors(ratings: DataFrame, U: DataFrame, M: DataFrame, rank: int) -> DataFr
                     (F.col(RATING) - _dot(F.col("u"), F.col("m"), rank)).alias("e")))
 
 
-def mf_step(factors: DataFrame, ratings: DataFrame, rank: int = 10, lam: float = 0.1,
-            alpha: float = 0.01, broadcast_u: bool = False, broadcast_m: bool = False) -> DataFrame:
+@dataclass
+class RatingBlocks:
+    """Ratings dealt into blocks once (block, userId, itemId, rating), and
+    the blocks that read each factor (side, id, reader)."""
+    ratings: DataFrame
+    routes: DataFrame
+
+
+def rating_blocks(ratings: DataFrame, block_rows: int = MF_BLOCK_ROWS,
+                  min_blocks: int = MF_MIN_BLOCKS) -> RatingBlocks:
+    """Blocks of about ``block_rows`` ratings, by user; the ratings of a user
+    that would fill a quarter of a block are dealt by item too. Both tables
+    are bucketed by what they are joined on, so that a round of descent moves
+    factors and gradients, never ratings."""
+    spark = ratings.sparkSession
+    ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
+    blocks = max(block_count(ratings.count(), block_rows), min_blocks)
+    heavy = sized_broadcast(ratings.groupBy(USER).count().where(F.col("count") > block_rows // 4)
+                            .select(USER, F.lit(1).alias("_heavy")), materialize=True)
+    part = F.when(F.col("_heavy").isNull(), F.xxhash64(USER)).otherwise(F.xxhash64(USER, ITEM))
+    buckets = min(max(blocks, int(spark.conf.get("spark.sql.shuffle.partitions"))), MAX_BUCKETS)
+    dealt = write_bucketed(ratings.join(heavy, USER, "left").select(
+        F.pmod(part, F.lit(blocks)).cast("int").alias("block"), USER, ITEM, RATING),
+        "rating_blocks", buckets, ("block",))
+    ends = [dealt.select(F.lit(side).alias("side"), F.col(key).alias("id"),
+                         F.col("block").alias("reader")).distinct()
+            for side, key in (("u", USER), ("m", ITEM))]
+    routes = write_bucketed(ends[0].union(ends[1]), "rating_routes", buckets, ("side", "id"))
+    return RatingBlocks(dealt, routes)
+
+
+def block_gradients(ratings: pa.Table, factors: pa.Table, rank: int, lam: float) -> pa.Table:
+    """Sums over one block: for each (side, id) its ratings' number, its own
+    factors and the sum of -2*e*other + 2*lam*own, e = r - u.m."""
+    side = factors.column("side").to_numpy(zero_copy_only=False) == "u"
+    ids = factors.column("id").to_numpy()
+    values = factors.column("features").combine_chunks().flatten().to_numpy().reshape(-1, rank)
+    place, own, keys = [], [], []
+    for mine, key in ((side, USER), (~side, ITEM)):
+        order = np.argsort(ids[mine], kind="stable")
+        keys.append(ids[mine][order])
+        own.append(values[mine][order])
+        place.append(np.searchsorted(keys[-1], ratings.column(key).to_numpy()))
+    u, m = (o[p] for o, p in zip(own, place))
+    e = ratings.column(RATING).to_numpy() - np.einsum("ij,ij->i", u, m)
+    columns = {"side": pa.array(np.repeat(["u", "m"], [len(k) for k in keys])),
+               "id": pa.array(np.concatenate(keys), pa.int64())}
+    n = [np.bincount(p, minlength=len(k)) for p, k in zip(place, keys)]
+    columns["n"] = pa.array(np.concatenate(n), pa.int64())
+    for k in range(rank):
+        columns[f"f{k}"] = pa.array(np.concatenate([o[:, k] for o in own]))
+        sums = [np.bincount(p, weights=-2.0 * e * other[:, k], minlength=len(o)) + 2.0 * lam * c * o[:, k]
+                for p, other, o, c in zip(place, (m, u), own, n)]
+        columns[f"g{k}"] = pa.array(np.concatenate(sums))
+    return pa.table(columns)
+
+
+def mf_step(factors: DataFrame, blocks: RatingBlocks, rank: int = 10, lam: float = 0.1,
+            alpha: float = 0.01) -> DataFrame:
     """One round on the stacked factor table (side 'u'/'m', id, features):
-    per rating e = r - u.m; each rating row yields a user gradient
-    -2*e*m + 2*lam*u and an item gradient -2*e*u + 2*lam*m; both are
-    averaged per (side, id) in ONE hash aggregate (partial sums before the
-    shuffle, one column per factor) and applied with rate alpha."""
-    U = factors.filter(F.col("side") == "u").select("id", "features")
-    M = factors.filter(F.col("side") == "m").select("id", "features")
-    err = _errors(ratings, F.broadcast(U) if broadcast_u else U,
-                  F.broadcast(M) if broadcast_m else M, rank)
-    rows = err.select("e", F.explode(F.array(
-        F.struct(F.lit("u").alias("side"), F.col(USER).alias("id"),
-                 F.col("u").alias("own"), F.col("m").alias("other")),
-        F.struct(F.lit("m").alias("side"), F.col(ITEM).alias("id"),
-                 F.col("m").alias("own"), F.col("u").alias("other")))).alias("g"))
-    e = F.col("e")
-    grads = rows.groupBy(F.col("g.side").alias("side"), F.col("g.id").alias("id")).agg(
-        *[F.avg(F.lit(-2.0) * e * F.col("g.other")[k] + F.lit(2.0 * lam) * F.col("g.own")[k]).alias(f"g{k}")
-          for k in range(rank)])
-    return factors.join(grads, ["side", "id"]).select(
-        "side", "id", F.array(*[F.col("features")[k] - F.lit(alpha) * F.col(f"g{k}")
-                                for k in range(rank)]).alias("features"))
+    per rating e = r - u.m, a user gradient -2*e*m + 2*lam*u and an item
+    gradient -2*e*u + 2*lam*m; both are averaged per (side, id) and applied
+    with rate alpha. Factors go to the blocks that read them, each block sums
+    its gradients in one Arrow task, and the sums per id meet in one
+    aggregate."""
+    def run(ratings: pa.Table, own: pa.Table) -> pa.Table:
+        return block_gradients(ratings, own, rank, lam)
+
+    schema = "side string, id long, n long, " + ", ".join(
+        f"f{k} double, g{k} double" for k in range(rank))
+    sent = blocks.routes.join(factors, ["side", "id"])
+    sums = (blocks.ratings.groupBy("block").cogroup(sent.groupBy("reader"))
+            .applyInArrow(run, schema).groupBy("side", "id").agg(
+                F.sum("n").alias("n"), *[F.first(f"f{k}").alias(f"f{k}") for k in range(rank)],
+                *[F.sum(f"g{k}").alias(f"g{k}") for k in range(rank)]))
+    return sums.select("side", "id", F.array(*[
+        F.col(f"f{k}") - F.lit(alpha) * F.col(f"g{k}") / F.col("n") for k in range(rank)])
+        .alias("features"))
 
 
 def stack_factors(U: DataFrame, M: DataFrame) -> DataFrame:
@@ -201,18 +270,17 @@ def split_factors(factors: DataFrame):
 def mf_gradient(ratings: DataFrame, rank: int = 10, iterations: int = 10,
                 lam: float = 0.1, alpha: float = 0.01, seed: int = 42):
     """Gradient-descent factorization: (U, M) after ``iterations`` rounds.
-    The ratings and each round's factors are checkpointed to the shared
-    checkpoint folder, so the plan stays one round deep and a lost
-    executor recomputes at most one round. Factor sides are broadcast
-    only when a count shows them small."""
-    ratings = cut_lineage(ratings.select(USER, ITEM, RATING))
-    U = mf_init(ratings, USER, rank, seed)
-    M = mf_init(ratings, ITEM, rank, seed)
-    small_u = U.count() <= broadcast_row_bound(U, FACTOR_BROADCAST_ROWS, array_len=rank)
-    small_m = M.count() <= broadcast_row_bound(M, FACTOR_BROADCAST_ROWS, array_len=rank)
-    factors = cut_lineage(stack_factors(U, M))
+    The ratings are dealt into blocks once; each round's factors are
+    checkpointed to the shared checkpoint folder, so the plan stays one round
+    deep and a lost executor recomputes at most one round."""
+    blocks = rating_blocks(ratings)
+    factors = blocks.routes.select("side", "id").distinct().select(
+        "side", "id", F.when(F.col("side") == "u", _start(USER, rank, seed))
+        .otherwise(_start(ITEM, rank, seed)).alias("features"))
+    small = factors.count() <= broadcast_row_bound(factors, FACTOR_BROADCAST_ROWS, array_len=rank)
     for _ in range(iterations):
-        factors = cut_lineage(mf_step(factors, ratings, rank, lam, alpha, small_u, small_m))
+        sent = F.broadcast(factors) if small else factors
+        factors = cut_lineage(mf_step(sent, blocks, rank, lam, alpha))
     return split_factors(factors)
 
 

@@ -194,6 +194,23 @@ def gd_ctes() -> list[str]:
     ]
 
 
+def gd_vector_ctes() -> list[str]:
+    """Start factors as one list per id (a row each, so that no join can be
+    ordered by factor position first), and each rating's error with both."""
+    def vectors(key: str, seed: int) -> str:
+        return f"""SELECT id, list(f ORDER BY k) AS f FROM (
+    SELECT {key} AS id, t.k, {unit_hash_sql([key, 't.k'], seed)} AS f
+    FROM (SELECT DISTINCT {key} FROM gratings), range({GD["rank"]}) t(k)) GROUP BY id"""
+    return [
+        GRATINGS,
+        f"vu AS MATERIALIZED ({vectors('userId', GD['seed'])})",
+        f"vm AS MATERIALIZED ({vectors('itemId', GD['seed'] + 7919)})",
+        """gerr AS MATERIALIZED (
+  SELECT r.userId, r.itemId, vu.f AS u, vm.f AS m, r.rating - list_dot_product(vu.f, vm.f) AS e
+  FROM gratings r JOIN vu ON vu.id = r.userId JOIN vm ON vm.id = r.itemId)""",
+    ]
+
+
 def gd_rounds_ctes(rounds: int) -> list[str]:
     """``rounds`` descent rounds unrolled: uf{t}, mf{t} -> uf{t+1}, mf{t+1}
     (uf0 = uf, mf0 = mf from ``gd_ctes``)."""
@@ -356,16 +373,13 @@ FROM knn FULL OUTER JOIN iknn USING (userId, itemId)""",
         f"""SELECT round(sse, 5) AS sse, round(reg, 5) AS reg, round(sse + reg, 5) AS loss FROM (
   SELECT (SELECT sum(e * e) FROM err) AS sse,
          {lam} * ((SELECT sum(f * f) FROM uf) + (SELECT sum(f * f) FROM mf)) AS reg)""",
-        "mf_gradient_step": with_(REVIEWS, *gd_ctes(),
-                                  f"""ug AS (SELECT p.userId AS id, uf.k, avg(-2.0 * p.e * mf.f + {lam2} * uf.f) AS g
-  FROM err p JOIN uf ON uf.id = p.userId JOIN mf ON mf.id = p.itemId AND mf.k = uf.k GROUP BY p.userId, uf.k)""",
-                                  f"""mg AS (SELECT p.itemId AS id, mf.k, avg(-2.0 * p.e * uf.f + {lam2} * mf.f) AS g
-  FROM err p JOIN uf ON uf.id = p.userId JOIN mf ON mf.id = p.itemId AND mf.k = uf.k GROUP BY p.itemId, mf.k)""") +
-        f"""SELECT 'u' AS side, uf.id, CAST(uf.k AS BIGINT) AS k, round(uf.f - {alpha} * ug.g, 8) AS value
-FROM uf JOIN ug ON ug.id = uf.id AND ug.k = uf.k
-UNION ALL
-SELECT 'm' AS side, mf.id, CAST(mf.k AS BIGINT) AS k, round(mf.f - {alpha} * mg.g, 8) AS value
-FROM mf JOIN mg ON mg.id = mf.id AND mg.k = mf.k""",
+        "mf_gradient_step": with_(REVIEWS, *gd_vector_ctes()) +
+        f"""SELECT side, id, CAST(k AS BIGINT) AS k, round(value, 8) AS value FROM (
+  SELECT 'u' AS side, userId AS id, k, any_value(u[k + 1]) - {alpha} * avg(-2.0 * e * m[k + 1] + {lam2} * u[k + 1]) AS value
+  FROM gerr, range({GD["rank"]}) t(k) GROUP BY userId, k
+  UNION ALL
+  SELECT 'm' AS side, itemId AS id, k, any_value(m[k + 1]) - {alpha} * avg(-2.0 * e * u[k + 1] + {lam2} * m[k + 1]) AS value
+  FROM gerr, range({GD["rank"]}) t(k) GROUP BY itemId, k)""",
         "mf_recommend": with_(REVIEWS, *gd_ctes(), *gd_rounds_ctes(GD_ROUNDS),
                               f"""gsc AS (SELECT m.id AS itemId, sum(m.f * u.f) AS score
   FROM mf{GD_ROUNDS} m JOIN (SELECT k, f FROM uf{GD_ROUNDS} WHERE id = {TARGET}) u USING (k) GROUP BY m.id)""",

@@ -57,9 +57,10 @@ def _typed_reviews(spark, d) -> DataFrame:
 
 def _written(kind: str, build) -> DataFrame:
     """The query's own ratings table, written once as parquet, dealt and
-    sorted by user: a target-user filter reads few files and row groups."""
-    return write_table_once(build().repartitionByRange("userId"), f"ratings-{kind}",
-                            sort_by=("userId",))
+    sorted by user and item: a target-user filter reads few files and row
+    groups, and a user with very many ratings has several files."""
+    return write_table_once(build().repartitionByRange("userId", "itemId"), f"ratings-{kind}",
+                            sort_by=("userId", "itemId"))
 
 
 def _ratings(spark, d, reuse: bool = False) -> DataFrame:
@@ -340,8 +341,8 @@ def q_mf_loss(spark, d):
 
 def q_mf_gradient_step(spark, d):
     ratings, U, M = _start_factors(spark, d)
-    U1, M1 = fz.split_factors(fz.mf_step(fz.stack_factors(U, M), ratings, GD["rank"],
-                                         GD["lam"], GD["alpha"]))
+    U1, M1 = fz.split_factors(fz.mf_step(fz.stack_factors(U, M), fz.rating_blocks(ratings),
+                                         GD["rank"], GD["lam"], GD["alpha"]))
 
     def longform(df, side):
         return df.select(F.lit(side).alias("side"), F.col("id").cast("long").alias("id"),

@@ -91,25 +91,37 @@ def ensure_checkpoint_dir(spark: SparkSession, allow_local: bool = False) -> str
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (eager)."""
-    spark = spark or df.sparkSession
-    local = is_one_machine(spark)
-    ensure_checkpoint_dir(spark, allow_local=local)
-    return df.checkpoint(eager=True)
+def _scratch_path(spark: SparkSession, name: str) -> str:
+    base = ensure_checkpoint_dir(spark, allow_local=is_one_machine(spark))
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
+    return f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df):
+    """``df`` written once to the shared checkpoint folder and read back. A
+    written table, not ``checkpoint()``: that computes its input twice and
+    keeps no statistics."""
+    return write_table_once(df, "cut")
+
+
+def write_bucketed(df, name: str, buckets: int, by: tuple[str, ...]):
+    """Write ``df`` as a bucketed table, one file per bucket, under the shared
+    checkpoint folder and read it back: joins and groups by ``by`` find its
+    rows in place, only the other side moves."""
+    spark = df.sparkSession
+    table = f"reelrank_{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by)
+     .option("path", _scratch_path(spark, name)).saveAsTable(table))
+    return spark.table(table)
 
 
 def write_table_once(df, name: str, sort_by: tuple[str, ...] = ()):
     """Write ``df`` as a parquet table under the shared checkpoint folder
-    and read it back. Unlike an RDD checkpoint, the table keeps file
-    statistics: filters reach its scan, and with ``sort_by`` each file is
-    sorted so row groups can be skipped by min/max (no extra shuffle)."""
+    and read it back: filters reach its scan, and with ``sort_by`` each file
+    is sorted so row groups can be skipped by min/max (no extra shuffle)."""
     spark = df.sparkSession
-    local = is_one_machine(spark)
-    base = ensure_checkpoint_dir(spark, allow_local=local)
-    if not base:
-        raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for it")
-    path = f"{base.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = _scratch_path(spark, name)
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     out.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

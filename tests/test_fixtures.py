@@ -55,7 +55,7 @@ def test_item_similarity_many_blocks(R):
     same pairs (off-diagonal tiles, several user blocks, partial sums)."""
     a = {(r.item1, r.item2): round(r.similarity, 9) for r in nb.item_similarity(R).collect()}
     b = {(r.item1, r.item2): round(r.similarity, 9)
-         for r in nb.item_similarity(R, max_block_items=1, max_block_rows=1).collect()}
+         for r in nb.item_similarity(R, max_block_items=1, max_tile_rows=1).collect()}
     assert a == b
 
 
@@ -160,10 +160,10 @@ def test_every_name_is_decoded(spark):
 
 
 def test_tile_plan_follows_the_data_alone():
-    from reelrank.operators import neighbours as nb
-    assert nb._block_counts(58_000, 2_000, 2048, 1_000_000) == (8, 1)
-    assert nb._block_counts(10**10, 10**6, 2048, 1_000_000) == (489, 21)
-    assert nb._block_counts(5, 3, 2048, 1_000_000) == (3, 1)
+    from reelrank.operators.item_pairs import block_counts
+    assert block_counts(58_000, 2_000, 2048, 1_000_000) == (8, 1)
+    assert block_counts(10**10, 10**6, 2048, 1_000_000) == (489, 21)
+    assert block_counts(5, 3, 2048, 1_000_000) == (3, 1)
 
 
 def test_split_valid_rows(spark):
