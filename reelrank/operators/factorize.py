@@ -15,6 +15,7 @@ from reelrank.functions.scalar import clamp_score, dot_literal, round_score
 from reelrank.operators.prepare import apply_index, index_ids, train_test_split
 from reelrank.operators.rank import top_n
 from reelrank.operators.ratings import exclude_seen
+from reelrank.operators.topn import top_items
 from reelrank.session import cut_lineage, write_bucketed
 from reelrank.sizing import (DEFAULT_BROADCAST_ROWS, block_count, broadcast_row_bound,
                              sized_broadcast)
@@ -80,6 +81,27 @@ def recommend_from_factors(item_factors: DataFrame, vec, ratings: DataFrame, tar
                     round_score(clamp_score("score"), 2).alias("totalScore")))
 
 
+def recommend_for(users: DataFrame, user_factors: DataFrame, item_factors: DataFrame,
+                  ratings: DataFrame, n: int, positive_only: bool = False) -> DataFrame:
+    """The same for every user of ``users`` (userId): userId, itemId,
+    totalScore, rank, by exact inner-product search. Users without factors
+    get no rows."""
+    double = F.col("features").cast("array<double>").alias("features")
+    wanted = users.select(F.col(USER).alias("id")).distinct()
+    found = top_items(user_factors.select("id", double).join(wanted, "id", "left_semi"),
+                      item_factors.select("id", double), ratings, n, positive_only)
+    return found.rows.select(USER, ITEM, round_score(clamp_score("score"), 2).alias("totalScore"),
+                             F.col("rank").cast("long").alias("rank"))
+
+
+def als_recommend_for(ratings: DataFrame, users: DataFrame, n: int, rank: int = 10,
+                      max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> DataFrame:
+    """ALS trained on every rating, then the top ``n`` unseen items of every
+    user of ``users``."""
+    model = als_fit(ratings, rank, max_iter, reg, seed)
+    return recommend_for(users, model.userFactors, model.itemFactors, ratings, n)
+
+
 def als_recommend(ratings: DataFrame, target: int, n: int, rank: int = 10,
                   max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> DataFrame:
     """ALS trained on every rating, then the top ``n`` unseen items for
@@ -318,3 +340,12 @@ def mf_recommend(ratings: DataFrame, target: int, n: int, rank: int = 10,
     U, M = mf_gradient(ratings, rank, iterations, lam, alpha, seed)
     return recommend_from_factors(M, user_vector(U, target), ratings, target, n,
                                   positive_only=True)
+
+
+def mf_recommend_for(ratings: DataFrame, users: DataFrame, n: int, rank: int = 10,
+                     iterations: int = 10, lam: float = 0.1, alpha: float = 0.01,
+                     seed: int = 42) -> DataFrame:
+    """Gradient-descent factors, then the top ``n`` unseen items with a
+    positive score of every user of ``users``."""
+    U, M = mf_gradient(ratings, rank, iterations, lam, alpha, seed)
+    return recommend_for(users, U, M, ratings, n, positive_only=True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from reelrank.functions.hashing import unit_hash_sql
 from reelrank.functions.text import SENTENCE, TOKEN
 from reelrank.operators.sentiment import CUTS
-from reelrank.plans.queries import (CAP_PER_USER, GD, GD_ROUNDS, MIN_SIMILARITY, PIVOT_ITEMS, REVIEW_KEYS,
+from reelrank.plans.queries import (BATCH_TOP, CAP_PER_USER, GD, GD_ROUNDS, MIN_SIMILARITY, PIVOT_ITEMS, REVIEW_KEYS,
                                     SAMPLE_FRACTION, SAMPLE_ROWS, SEED, TARGET, TOP_N, TOP_PER_USER)
 
 
@@ -380,6 +380,15 @@ FROM knn FULL OUTER JOIN iknn USING (userId, itemId)""",
   UNION ALL
   SELECT 'm' AS side, itemId AS id, k, any_value(m[k + 1]) - {alpha} * avg(-2.0 * e * u[k + 1] + {lam2} * m[k + 1]) AS value
   FROM gerr, range({GD["rank"]}) t(k) GROUP BY itemId, k)""",
+        "mf_recommend_batch": with_(
+            REVIEWS, *gd_vector_ctes(),
+            f"""bsc AS (SELECT vu.id AS userId, vm.id AS itemId, list_dot_product(vu.f, vm.f) AS score
+  FROM vu, vm WHERE vu.id % 100 = {TARGET}
+    AND NOT EXISTS (SELECT 1 FROM gratings g WHERE g.userId = vu.id AND g.itemId = vm.id))""",
+            """btop AS (SELECT *, row_number() OVER (
+    PARTITION BY userId ORDER BY round(score, 9) DESC, itemId) AS rank FROM bsc WHERE score > 0)""") +
+        f"""SELECT userId, itemId, round(least(greatest(score, 0.0), 5.0), 2) AS totalScore, rank
+FROM btop WHERE rank <= {BATCH_TOP}""",
         "mf_recommend": with_(REVIEWS, *gd_ctes(), *gd_rounds_ctes(GD_ROUNDS),
                               f"""gsc AS (SELECT m.id AS itemId, sum(m.f * u.f) AS score
   FROM mf{GD_ROUNDS} m JOIN (SELECT k, f FROM uf{GD_ROUNDS} WHERE id = {TARGET}) u USING (k) GROUP BY m.id)""",

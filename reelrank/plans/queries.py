@@ -36,6 +36,7 @@ SAMPLE_FRACTION = 0.4
 SAMPLE_ROWS = 10_000
 CAP_PER_USER = 5
 TOP_PER_USER = 5
+BATCH_TOP = 20
 PIVOT_ITEMS = 10
 MIN_SIMILARITY = 0.05
 GD = dict(rank=10, lam=0.1, alpha=0.01, seed=42)
@@ -356,6 +357,21 @@ def q_score_items(spark, d):
     return fz.score_items(U, M, TARGET).select("userId", "itemId", _r("score"))
 
 
+def q_mf_recommend_batch(spark, d):
+    """The top unseen items of the users whose id ends in 26, from hash-made
+    factors."""
+    ratings, U, M = _start_factors(spark, d)
+    users = ratings.filter(F.col("userId") % 100 == TARGET).select("userId")
+    return fz.recommend_for(users, U, M, ratings, BATCH_TOP, positive_only=True)
+
+
+def q_als_recommend_batch(spark, d):
+    """ALS, then the top unseen items of the users whose id ends in 26."""
+    ratings = _ratings(spark, d, reuse=True)
+    users = ratings.filter(F.col("userId") % 100 == TARGET).select("userId")
+    return fz.als_recommend_for(ratings, users, BATCH_TOP, RANK, seed=SEED)
+
+
 def q_als_recommend(spark, d):
     return fz.als_recommend(_ratings(spark, d, reuse=True), TARGET, TOP_N, RANK, seed=SEED)
 
@@ -425,6 +441,8 @@ QUERIES: dict[str, Query] = {
     "mf_loss": q_mf_loss,
     "mf_gradient_step": q_mf_gradient_step,
     "score_items": q_score_items,
+    "mf_recommend_batch": q_mf_recommend_batch,
+    "als_recommend_batch": q_als_recommend_batch,
     "als_recommend": q_als_recommend,
     "als_fit_predict": q_als_fit_predict,
     "rating_rmse": q_rating_rmse,
