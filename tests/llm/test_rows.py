@@ -1,6 +1,7 @@
 """Row-wise operators against plain Python on awkward and real rows."""
 
 import hashlib
+import math
 import re
 import zlib
 
@@ -198,14 +199,26 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.where("page_id < 0"), texts_).collect() == []
 
 
+def tokens_of(spark, rows, counts, total=1e6):
+    urls = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                                 "_row long, host string, path string, rule string")
+    known = spark.createDataFrame(counts, "w string, n long")
+    out = [[] for _ in rows]
+    for r in url_filter.url_tokens(urls, known, total).collect():
+        out[r["_row"]].append(r["token"])
+    return [sorted(x) for x in out]
+
+
 def test_registered_names_are_scored(spark):
-    words = url_filter.Words({"cheap": -2.0, "casino": -3.0, "www": -3.0, "example": -3.0}, 1e6)
-    assert url_filter.tokens("www.cheapcasino.com", "", words) == ["h:www", "h:cheap", "h:casino"]
-    assert url_filter.tokens("cheapcasino.com", "", words) == ["h:cheap", "h:casino"]
-    assert url_filter.tokens("www.example.net", "", words, "example.net/en/") == ["h:www"]
-    assert url_filter.tokens("www.example.net", "", words, "net/") == ["h:www", "h:example"]
-    assert url_filter.tokens("example.net", "", words, "example.net/en/") == []
-    assert url_filter.tokens("casino", "", words) == ["h:casino"]
+    counts = [("cheap", 9000), ("casino", 900), ("www", 900), ("example", 900)]
+    assert tokens_of(spark, [
+        ("www.cheapcasino.com", "", None), ("cheapcasino.com", "", None),
+        ("www.example.net", "", "example.net/en/"), ("www.example.net", "", "net/"),
+        ("example.net", "", "example.net/en/"), ("casino", "", None), ("", "", None),
+        ("a-1.cheap22.de", "/Casino/2024/www.x?", None)], counts) == [
+        ["h:casino", "h:cheap", "h:www"], ["h:casino", "h:cheap"], ["h:www"],
+        ["h:example", "h:www"], [], ["h:casino"], [],
+        ["h:#1", "h:#2", "h:a", "h:cheap", "p:#4", "p:casino", "p:www", "p:x"]]
     pages = spark.createDataFrame([(1, "http://www.cheapcasino.com/"), (2, "http://cheapcasino.com/"),
                                    (3, "http://www.cheap-pills.com/"), (4, "http://www.sciencenews.com/")],
                                   "page_id long, url string")
@@ -214,11 +227,65 @@ def test_registered_names_are_scored(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow"}
 
 
-def test_segmentation_is_the_likeliest():
-    words = url_filter.Words({"cheap": -2.0, "pills": -3.0, "pill": -3.5, "s": -6.0, "che": -9.0}, 1e6)
-    assert words.split("cheappills") == ["cheap", "pills"]
-    assert "".join(words.split("zzqcheapqq")) == "zzqcheapqq"
-    assert words.split("") == []
+def all_splits(name):
+    for k in range(1, min(len(name), url_filter.MAX_WORD_LEN) + 1):
+        if k == len(name):
+            yield [name]
+        else:
+            yield from ([name[:k], *rest] for rest in all_splits(name[k:]))
+
+
+def test_segmentation_is_the_likeliest_of_all(spark):
+    rng = np.random.default_rng(7)
+    counts = {"".join(rng.choice(list("abc"), k)): int(rng.integers(1, 500))
+              for k in (2, 2, 3, 3, 4, 5) * 4}
+    total = 10_000.0
+    names = {"".join(rng.choice(list("abcd"), k)) for k in (1, 2, 5, 8, 11, 11, 12)} | {"a"}
+
+    def cost(words):
+        return sum(math.log(counts[w] / total) if w in counts else -math.log(total) - 2.5 * len(w)
+                   for w in words)
+
+    parts = spark.createDataFrame([(n,) for n in names], "part string")
+    known = spark.createDataFrame(list(counts.items()), "w string, n long")
+    got = {r["part"]: r["words"] for r in url_filter.segmented(parts, known, total).collect()}
+    assert got.keys() == names
+    for name, words in got.items():
+        best = max(map(cost, all_splits(name)))
+        assert "".join(words) == name and cost(words) == pytest.approx(best)
+
+
+def test_weights_and_odds_by_hand(spark):
+    tokens = spark.createDataFrame(
+        [(1, "h:a"), (1, "h:a"), (1, "p:b"), (2, "h:a"), (2, "h:casino"), (3, "p:b"), (3, "h:new"),
+         (3, "h:casino"), (4, "h:new")], "_row long, token string")
+    judged = spark.createDataFrame([(1, "block"), (2, "allow")], "_row long, verdict string")
+    weights = url_filter.token_weights(tokens, judged)
+    got = {r["token"]: r["weight"] for r in weights.collect()}
+    w, kinds = url_filter.SEED_WEIGHT, len(url_filter.BLOCK_TERMS + url_filter.ALLOW_TERMS) + 2
+    block = 3 + w * len(url_filter.BLOCK_TERMS) + kinds + 1
+    allow = 2 + w * len(url_filter.ALLOW_TERMS) + kinds + 1
+    odds = lambda b, a: math.log((b + 1) / block) - math.log((a + 1) / allow)
+    assert len(got) == kinds
+    for t, b, a in (("h:a", 2, 1), ("p:b", 1, 0), ("h:casino", w, 1), ("h:www", 0, w)):
+        assert got[t] == pytest.approx(odds(b, a))
+    sums = {r["_row"]: r["odds"] for r in url_filter.log_odds(tokens.where("_row > 2"), weights).collect()}
+    assert sums[3] == pytest.approx(got["p:b"] + got["h:casino"]) and not sums[4]
+
+
+def test_url_filter_odd_rows(spark):
+    long = "http://" + "cheap" * 3000 + ".com/" + "x1" * 2000
+    rows = [(1, long), (1, long), (None, "http://casino.com/"), (None, None), (2, "HTTP://A.B/"),
+            (3, "x://" + "." * 50 + "/"), (4, "http://casino.com/"), (5, "http://www.casino.com/")]
+    pages = spark.createDataFrame([(*r, "n", 2) for r in rows],
+                                  "page_id long, url string, host string, n int")
+    texts_ = spark.createDataFrame([(None,), ("",), ("cheap casino",)], "text string")
+    got = url_filter.judge(pages, texts_).collect()
+    assert len(got) == len(rows)
+    assert [r["verdict"] for r in got if r["page_id"] == 1] == ["block"] * 2
+    assert sorted(r["verdict"] for r in got if r["page_id"] is None) == ["allow", "block"]
+    assert {r["page_id"]: r["verdict"] for r in got}[5] == "allow"  # www speaks against casino
+    assert url_filter.judge(pages, texts_.limit(0)).count() == len(rows)
 
 
 # --- licences ------------------------------------------------------------------------------
