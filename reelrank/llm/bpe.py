@@ -1,10 +1,11 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 Texts are cut where a rolling hash of the last 32 bytes meets a mask, so
-equal passages give equal chunks wherever they stand. Chunks that several
-places share are encoded once and reused; every other chunk is encoded in
-place. A cut may fall inside a word: each join is then repaired by encoding
-the fragments on both sides together until the tokens agree.
+equal passages give equal chunks wherever they stand. A task encodes a chunk
+at its first meeting and reuses its tokens at every further one; chunks that
+save the most bytes over all documents are kept to its end, others as long as
+there is room. A cut may fall inside a word: each join is then repaired by
+encoding the fragments on both sides together until the tokens agree.
 
 Cases: null text is an empty text (no tokens, empty decoded text); rows
 with equal or null ids are independent; extra columns are ignored; a text
@@ -25,10 +26,11 @@ from reelrank.llm.common import text_bytes
 
 # A cut about every 512 bytes; no chunk under 64 or over 4096 bytes.
 CUT_MASK, MIN_CHUNK, MAX_CHUNK = 0x1FF, 64, 4096
-# The reuse table: at most this many shared chunks (so at most 8 MB of
-# text), those that save the most bytes first. Beyond it a chunk is encoded
-# in place, with the same result.
-REUSED_CHUNKS = 2048
+# Chunks that a task never forgets: at most this many (so at most 8 MB of
+# text), those that save the most bytes first; and the text of other chunks
+# that it holds at a time. A forgotten chunk is encoded again, to the same
+# tokens.
+REUSED_CHUNKS, HELD_BYTES = 2048, 16 << 20
 _GEAR = np.random.default_rng(20240101).integers(0, 2**32, 256, dtype=np.uint32)
 # Text handled at a time inside a task.
 _BATCH_BYTES = 4 << 20
@@ -88,18 +90,43 @@ def shared_chunks(docs: DataFrame, text: str = "text",
             .orderBy(F.desc(F.expr("(n - 1) * size")), "h").limit(limit))
 
 
-def _parts(encoder, chunk: bytes):
-    """Head fragment, ids and decoded text of the inner words, tail
-    fragment; a chunk without white space is all head (inner is None)."""
+def _fragments(chunk: bytes) -> tuple[bytes, list[bytes] | None, bytes]:
+    """Head fragment, inner words, tail fragment; a chunk without white space
+    is all head (None)."""
     words = chunk.split()
     head = b"" if chunk[:1].isspace() or not words else words.pop(0)
     if len(head) == len(chunk):
-        return head, None, None, b""
+        return head, None, b""
     tail = b"" if chunk[-1:].isspace() or not words else words.pop()
-    get = encoder.words(words)
-    values = [get[w] for w in words]
-    return (head, b"".join([v[0] for v in values]),
-            b" ".join([v[1] for v in values if v[1]]), tail)
+    return head, words, tail
+
+
+def encode_chunks(encoder, found: dict) -> dict:
+    """Of each chunk (by key) head fragment, ids and decoded text of its inner
+    words, tail fragment."""
+    pieces = {k: _fragments(c) for k, c in found.items()}
+    encoder.words([w for _, words, _ in pieces.values() for w in words or ()])
+    out = {}
+    for k, (head, words, tail) in pieces.items():
+        if words is None:
+            out[k] = head, None, None, b""
+            continue
+        get = encoder.words(words)
+        values = [get[w] for w in words]
+        out[k] = (head, b"".join([v[0] for v in values]),
+                  b" ".join([v[1] for v in values if v[1]]), tail)
+    return out
+
+
+def cut_words(parts) -> list[bytes]:
+    """The words that cuts have split, put together again."""
+    out, open_word = [], b""
+    for head, inner, _, tail in parts:
+        open_word += head
+        if inner is not None:
+            out.append(open_word)
+            open_word = tail
+    return [w for w in (*out, open_word) if w]
 
 
 def join_parts(encoder, parts) -> tuple[bytes, bytes]:
@@ -126,12 +153,38 @@ def join_parts(encoder, parts) -> tuple[bytes, bytes]:
     return b"".join(ids), b" ".join([d for d in decoded if d])
 
 
-def _encoder_task(path: str, reused, digests: bool):
-    """``reused``: the broadcast chunk hashes. A task encodes each of them at
-    its first meeting and keeps the parts."""
+class _Chunks:
+    """The chunks a task has encoded, and how many bytes it has encoded and
+    reused."""
+
+    def __init__(self, encoder, wanted: frozenset):
+        self.encoder, self.wanted = encoder, wanted
+        self.kept: dict[bytes, tuple] = {}
+        self.held, self.size = {}, 0
+        self.encoded = self.reused = 0
+
+    def parts(self, texts: list[bytes]) -> list[list[tuple]]:
+        cut = [[(hashlib.blake2b(c, digest_size=16).digest(), c) for c in chunks(d)] for d in texts]
+        fresh = {k: c for doc in cut for k, c in doc if k not in self.kept and k not in self.held}
+        done = encode_chunks(self.encoder, fresh)
+        new = sum(map(len, fresh.values()))
+        self.encoded += new
+        self.reused += sum(map(len, texts)) - new
+        out = [[done.get(k) or self.kept.get(k) or self.held[k] for k, _ in doc] for doc in cut]
+        self.kept.update((k, p) for k, p in done.items() if k in self.wanted)
+        if self.size + new > HELD_BYTES:
+            self.held, self.size = {}, 0
+        self.held.update((k, p) for k, p in done.items() if k not in self.wanted)
+        self.size += new
+        return out
+
+
+def _encoder_task(path: str, reused, digests: bool, counted=None):
+    """``reused``: the broadcast hashes of the chunks to keep. ``counted``:
+    accumulators of bytes encoded and reused."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load("word_end", path)
-        wanted, kept = reused.value, {}
+        known = _Chunks(encoder, reused.value)
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             start = 0
@@ -140,20 +193,9 @@ def _encoder_task(path: str, reused, digests: bool):
                 while stop < batch.num_rows and (stop == start or size < _BATCH_BYTES):
                     size += len(texts[stop].as_buffer())
                     stop += 1
-                data = texts.slice(start, stop - start).to_pylist()
-                encoder.words([w for d in data for w in d.split()])
-                out = []
-                for d in data:
-                    parts = []
-                    for c in chunks(d):
-                        k = hashlib.blake2b(c, digest_size=16).digest()
-                        p = kept.get(k)
-                        if p is None:
-                            p = _parts(encoder, c)
-                            if k in wanted:
-                                kept[k] = p
-                        parts.append(p)
-                    out.append(join_parts(encoder, parts))
+                parts = known.parts(texts.slice(start, stop - start).to_pylist())
+                encoder.words([w for p in parts for w in cut_words(p)])
+                out = [join_parts(encoder, p) for p in parts]
                 columns = {"doc_id": keys.slice(start, stop - start),
                            "n_tokens": pa.array([len(i) // 4 for i, _ in out], pa.int64())}
                 if digests:
@@ -166,14 +208,18 @@ def _encoder_task(path: str, reused, digests: bool):
                     columns["decoded"] = [t.decode() for _, t in out]
                 yield pa.RecordBatch.from_pydict(columns)
                 start = stop
+        if counted is not None:
+            counted[0].add(known.encoded)
+            counted[1].add(known.reused)
     return run
 
 
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",
-           digests: bool = False, limit: int = REUSED_CHUNKS) -> DataFrame:
+           digests: bool = False, limit: int = REUSED_CHUNKS, counted=None) -> DataFrame:
     """doc_id, n_tokens and either ids array<int> and decoded string, or
     (``digests``) their SHA-256 as lowercase hex. One row per input row, no
-    shuffle of texts or ids: only chunk hashes and counts are shuffled."""
+    shuffle of texts or ids: only chunk hashes and counts are shuffled.
+    ``counted``: two accumulators that receive the bytes encoded and reused."""
     spark = docs.sparkSession
     # bounded: at most `limit` hashes of 16 bytes
     hashes = frozenset(bytes(r["h"]) for r in shared_chunks(docs, text, limit).collect())
@@ -181,5 +227,5 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     kind = ("ids_sha256 string, decoded_sha256 string" if digests
             else "ids array<int>, decoded string")
     return rows.mapInArrow(
-        _encoder_task(tokenizer, spark.sparkContext.broadcast(hashes), digests),
+        _encoder_task(tokenizer, spark.sparkContext.broadcast(hashes), digests, counted),
         f"doc_id long, n_tokens long, {kind}")

@@ -43,6 +43,44 @@ def test_chunks_cover_and_follow_content():
     assert bpe.chunks(b"") == []
 
 
+def test_repeated_chunks_are_encoded_once(spark, make, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = lambda k: " ".join("".join(rng.choice(list("abcdefg"), 5)) for _ in range(k))
+    passage = words(3000)
+    rows = [(i, f"{words(50)} {passage} {words(50)}") for i in range(12)]
+    docs, path = make(rows).coalesce(1), P.path("word_bpe_49k.json")
+    total = sum(len(t) for _, t in rows)
+    for limit, held in ((bpe.REUSED_CHUNKS, bpe.HELD_BYTES), (1, bpe.HELD_BYTES)):
+        counted = [spark.sparkContext.accumulator(0) for _ in range(2)]
+        got = bpe.encode(docs, path, limit=limit, counted=counted).collect()
+        encoded, reused = (c.value for c in counted)
+        assert encoded + reused == total and reused > 0.75 * total
+        ref = Tokenizer.from_file(path)
+        assert {r["doc_id"]: r["ids"] for r in got} == {
+            i: ref.encode(t, add_special_tokens=False).ids for i, t in rows}
+
+
+def test_the_task_encodes_new_chunks_and_cut_words_only():
+    class Spy:
+        def __init__(self):
+            self.asked = []
+
+        def words(self, words):
+            self.asked += words
+            return {w: (b"\0" * 4, w) for w in words}
+
+    spy, text = Spy(), b"alpha beta gamma delta " * 400
+    known = bpe._Chunks(spy, frozenset())
+    first = known.parts([text])[0]
+    asked = len(spy.asked)
+    again = known.parts([text, text])
+    assert len(spy.asked) == asked and again == [first, first]  # nothing is encoded again
+    assert (known.encoded, known.reused) == (len(set(bpe.chunks(text)) and b"".join(
+        dict.fromkeys(bpe.chunks(text)))), 3 * len(text) - known.encoded)
+    ids, decoded = bpe.join_parts(spy, first)
+    assert decoded == b" ".join(text.split()) and len(ids) == 4 * len(text.split())
+
+
 @pytest.mark.parametrize("which", ["odd", "real"])
 def test_bpe_equals_library(which, request):
     docs = request.getfixturevalue(which)
