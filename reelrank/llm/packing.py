@@ -17,7 +17,7 @@ from __future__ import annotations
 import bisect
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +27,9 @@ from reelrank.llm.bpe_words import load
 from reelrank.llm.common import written
 
 CAPACITY = 2048
-# Ranks are given within (length, share); shares split a length that a
-# third of all pieces may have.
-SHARES = 256
+# Ranks are given within (length, share); the shares of a length hold at most
+# about so many pieces, whatever part of all pieces it has.
+SHARE_PIECES = 1_000_000
 _BATCH_CHARS = 4 << 20
 
 
@@ -83,86 +83,94 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0,
         "row long, doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def nnls(a: np.ndarray, b: np.ndarray, rounds: int = 800) -> np.ndarray:
-    """min |a x - b| over x >= 0 by accelerated projected gradients."""
-    gram, target = a.T @ a, a.T @ b
-    step = 1.0 / max(np.linalg.norm(gram, 2), 1e-12)
-    x = np.zeros(a.shape[1])
+def nnls(i: np.ndarray, j: np.ndarray, v: np.ndarray, b: np.ndarray, columns: int,
+         rounds: int = 800) -> np.ndarray:
+    """min |A x - b| over x >= 0 by accelerated projected gradients, A with
+    the entries v at (i, j)."""
+    def times(x):
+        return np.bincount(i, weights=v * x[j], minlength=len(b))
+
+    def back(r):
+        return np.bincount(j, weights=v * r[i], minlength=columns)
+
+    x = np.ones(columns)
+    for _ in range(30):  # the largest eigenvalue of A'A, from below
+        x = back(times(x / max(np.linalg.norm(x), 1e-300)))
+    step = 0.9 / max(np.linalg.norm(x), 1e-12)
+    x = np.zeros(columns)
     y, t = x.copy(), 1.0
     for _ in range(rounds):
-        new = np.maximum(y - step * (gram @ y - target), 0.0)
+        new = np.maximum(y - step * back(times(y) - b), 0.0)
         t_new = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y = new + (t - 1) / t_new * (new - x)
         x, t = new, t_new
     return x
 
 
-def patterns(counts: dict[int, int], capacity: int, most: int = 900) -> list[tuple[int, ...]]:
-    """Patterns of one to four lengths that fill ``capacity`` exactly or best.
+def patterns(counts: dict[int, int], capacity: int, least: int = 0, most: int = 1600,
+             waste: int = 1) -> list[tuple[int, ...]]:
+    """Patterns of few lengths, the longest at least ``least``, that fill
+    ``capacity`` but for ``waste`` tokens.
 
-    For each length: alone when full; with its best partner; with each of
-    the commonest lengths and the best third; and halves of a pair. The
-    commonest lengths are those that hold the most tokens."""
+    For each long length, once or as often as it fits or half of that: with
+    its best partner; with each of the lengths that hold the most tokens and
+    the best third; and halves of a pair. Each long length keeps its share of
+    ``most``, those that can repeat most first."""
     lengths = sorted(counts)
-    if not lengths:
-        return []
 
     def best(room: int) -> int | None:
         i = bisect.bisect_right(lengths, room)
         return lengths[i - 1] if i else None
 
-    common = sorted(lengths, key=lambda v: -counts[v])[:24]
-    found: dict[tuple[int, ...], int] = {}
-
-    def add(*p: int) -> None:
-        key = tuple(sorted(p, reverse=True))
-        waste = capacity - sum(key)
-        if waste >= 0:
-            found[key] = waste
-
-    for a in lengths:
-        rest = capacity - a
-        if (b := best(rest)) is None:
-            add(a)
-            continue
-        add(a, b)
-        for c in common:
-            if c <= rest:
-                d = best(rest - c)
-                if d is None:
-                    add(a, c)
-                else:
-                    add(a, c, d)
-                    if (e := best(rest - c - d)) is not None:
-                        add(a, c, d, e)
-    ranked = sorted(found, key=lambda p: (found[p], -min(counts[v] for v in p), p))
-    return ranked[:most]
+    common = sorted(lengths, key=lambda v: (-v * counts[v], v))[:48]
+    long = [v for v in lengths if v >= least]
+    out: list[tuple[int, ...]] = []
+    for a in long:
+        found: dict[tuple[int, ...], int] = {}
+
+        def add(*p: int) -> None:
+            key = tuple(sorted(p, reverse=True))
+            if key[0] == a and 0 <= capacity - sum(key) <= waste:
+                found[key] = min(counts[v] // key.count(v) for v in set(key))
+
+        fits = capacity // a
+        for times in {1, fits, (fits + 1) // 2, fits - 1} - {0}:
+            own, rest = (a,) * times, capacity - times * a
+            add(*own)
+            if (b := best(rest)) is not None:
+                add(*own, b)
+                for c in common:
+                    if c < rest and (d := best(rest - c)) is not None:
+                        add(*own, c, d)
+                        if (e := best(rest - c - d)) is not None:
+                            add(*own, c, d, e)
+        ranked = sorted((p for p in found if found[p]), key=lambda p: (-found[p] * sum(p), p))
+        out += ranked[:max(2, most // len(long))]
+    return out
 
 
 def fit(counts: dict[int, int], capacity: int, least: int = 0) -> dict[tuple[int, ...], int]:
     """Whole repeat counts of patterns that never use more pieces of a
     length than there are; only patterns whose longest piece has ``least``
-    tokens. Long pieces weigh more: short ones fit elsewhere too."""
+    tokens. Long pieces weigh more: short ones fit elsewhere too. Repeats are
+    rounded up, the largest first, as far as pieces are left."""
     full = counts.get(capacity, 0)
     rest = {v: n for v, n in counts.items() if v < capacity and n > 0}
     plan = {(capacity,): full} if full else {}
-    pats = [p for p in patterns(rest, capacity) if capacity - sum(p) <= 1 and p[0] >= least]
+    pats = patterns(rest, capacity, least)
     if not pats:
         return plan
-    lengths = sorted(rest)
+    lengths = sorted({v for p in pats for v in p})
     where = {v: i for i, v in enumerate(lengths)}
-    a = np.zeros((len(lengths), len(pats)))
-    for j, p in enumerate(pats):
-        for v in p:
-            a[where[v], j] += 1
-    b = np.array([rest[v] for v in lengths], float)
+    entries = np.array([(where[v], j, p.count(v)) for j, p in enumerate(pats) for v in set(p)])
     weight = (np.array(lengths) / capacity) ** 2
-    repeats = np.floor(nnls(a * weight[:, None], b * weight) + 1e-6).astype(np.int64)
+    repeats = nnls(entries[:, 0], entries[:, 1], entries[:, 2] * weight[entries[:, 0]],
+                   np.array([rest[v] for v in lengths]) * weight, len(pats))
     left = dict(rest)
     for j in np.argsort(-repeats, kind="stable"):
         p = pats[j]
         need = {v: p.count(v) for v in p}
-        k = min(int(repeats[j]), *(left[v] // n for v, n in need.items()))
+        k = min(int(np.ceil(repeats[j] - 0.1)), *(left[v] // n for v, n in need.items()))
         if k > 0:
             plan[p] = k
             for v, n in need.items():
@@ -213,22 +221,29 @@ def best_fit(counts: dict[int, int], capacity: int) -> dict[tuple[int, ...], int
     return out
 
 
-def pack_plan(counts: dict[int, int], capacity: int = CAPACITY,
-              rounds: int = 8) -> list[tuple]:
-    """Runs (length, first_rank, n, sequence, offset): the pieces of a
-    length with ranks first_rank .. first_rank + n - 1 go to sequences
-    sequence, sequence + 1, ... at ``offset``. Patterns are fitted to what
-    earlier rounds have left; the residuals are packed best-fit."""
-    left, plan = dict(counts), []
+def fitted_plan(counts: dict[int, int], capacity: int = CAPACITY, rounds: int = 10
+                ) -> tuple[dict[tuple[int, ...], int], dict[int, int]]:
+    """Repeats of patterns, and the pieces they leave. Each round fits patterns
+    to what the rounds before have left, first those around the longest
+    pieces, at last those of short pieces alone."""
+    left, plan = dict(counts), {}
     for i in range(rounds):
-        # first the patterns that place a piece over half a sequence
         fitted = fit({v: n for v, n in left.items() if n}, capacity,
-                     capacity * (2*rounds - 1 - i) // (2*rounds))
-        plan += fitted.items()
+                     capacity * (rounds - 1 - i) // rounds)
         for p, k in fitted.items():
+            plan[p] = plan.get(p, 0) + k
             for v in p:
                 left[v] -= k
-    plan += best_fit({v: n for v, n in left.items() if n}, capacity).items()
+    return plan, {v: n for v, n in left.items() if n}
+
+
+def pack_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple]:
+    """Runs (length, first_rank, n, sequence, offset): the pieces of a
+    length with ranks first_rank .. first_rank + n - 1 go to sequences
+    sequence, sequence + 1, ... at ``offset``. Fitted patterns first, the
+    residuals best-fit."""
+    fitted, left = fitted_plan(counts, capacity)
+    plan = [*fitted.items(), *best_fit(left, capacity).items()]
     used: dict[int, int] = {}
     runs, sequence = [], 0
     for p, n in plan:
@@ -241,35 +256,43 @@ def pack_plan(counts: dict[int, int], capacity: int = CAPACITY,
     return runs
 
 
+def _place_task(plan) -> Callable:
+    """Adds sequence_id and offset to rows that end in a rank (_at) within
+    their length: the last run of the length that starts at or below it.
+    ``plan``: the broadcast runs, as arrays in the order of (length, rank)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rank, sequence, offset = plan.value
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy()
+            length = batch.column("length").to_numpy()
+            i = np.searchsorted(key, (length << 48) | at, side="right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], pa.array(sequence[i] + at - rank[i]), pa.array(offset[i])],
+                names=[*batch.schema.names[:-1], "sequence_id", "offset"])
+    return run
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``pieces`` (with row, piece, length) plus sequence_id and offset."""
     spark = pieces.sparkSession
-    pieces = written(pieces.withColumn(
-        "_share", F.pmod(F.xxhash64("row", "piece"), F.lit(SHARES)).cast("int")), "pieces")
-    # at most capacity * SHARES numbers
-    shares = sorted((r["length"], r["_share"], r["n"]) for r in pieces.groupBy(
-        "length", "_share").agg(F.count("*").alias("n")).collect())
-    counts: dict[int, int] = {}
-    firsts = []
-    for length, share, n in shares:
-        firsts.append((length, share, counts.get(length, 0)))
-        counts[length] = counts.get(length, 0) + n
-    first = spark.createDataFrame(firsts, "length long, _share int, _first long")
-    runs = spark.createDataFrame(
-        pack_plan(counts, capacity),
-        "length long, _rank long, _n long, _sequence long, offset long")
-    # both small sides follow the histogram: at most capacity * SHARES rows
-    # and the plan's runs, whatever the number of pieces
-    per_length = runs.groupBy("length").agg(
-        F.sort_array(F.collect_list(F.struct("_rank", "_sequence", "offset"))).alias("_runs"))
-    ranked = pieces.withColumn("_in", F.row_number().over(
-        Window.partitionBy("length", "_share").orderBy("row", "piece")) - 1)
-    # the last run of the piece's length that starts at or below its rank
-    runs_at = F.filter("_runs", lambda r: r["_rank"] <= F.col("_at"))
-    return (ranked.join(F.broadcast(first), ["length", "_share"])
-            .withColumn("_at", F.col("_first") + F.col("_in"))
-            .join(F.broadcast(per_length), "length")
-            .withColumn("_run", F.element_at(runs_at, -1))
-            .withColumn("sequence_id", F.col("_run._sequence") + F.col("_at") - F.col("_run._rank"))
-            .withColumn("offset", F.col("_run.offset"))
-            .drop("_share", "_first", "_in", "_at", "_runs", "_run"))
+    pieces = written(pieces, "pieces")
+    # at most ``capacity`` numbers
+    counts = {r["length"]: r["n"] for r in
+              pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    shares = 1 + sum(counts.values()) // SHARE_PIECES
+    own = pieces.columns
+    dealt = pieces.withColumn("_share", F.pmod(F.xxhash64("row", "piece"), F.lit(shares)).cast("int"))
+    # where each share's ranks begin: the sizes of the length's shares before it
+    earlier = Window.partitionBy("length").orderBy("_share").rowsBetween(
+        Window.unboundedPreceding, -1)
+    first = (dealt.groupBy("length", "_share").agg(F.count("*").alias("n"))
+             .select("length", "_share", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_first")))
+    within = Window.partitionBy("length", "_share").orderBy("row", "piece")
+    ranked = (dealt.withColumn("_in", F.row_number().over(within) - 1)
+              .join(first, ["length", "_share"])
+              .select(*own, (F.col("_first") + F.col("_in")).cast("long").alias("_at")))
+    runs = sorted(pack_plan(counts, capacity))
+    length, rank, _, sequence, offset = np.array(runs, np.int64).reshape(-1, 5).T
+    plan = spark.sparkContext.broadcast(((length << 48) | rank, rank, sequence, offset))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
+    return ranked.mapInArrow(_place_task(plan), f"{kinds}, sequence_id long, offset long")

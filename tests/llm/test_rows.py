@@ -151,6 +151,46 @@ def test_pack_plan_places_every_piece_once():
     assert packing.pack_plan({}) == []
 
 
+@pytest.mark.parametrize("name", ["mixed", "short", "many"])
+def test_the_fit_places_most_tokens(name):
+    rng = np.random.default_rng(6)
+    lengths = np.minimum(rng.lognormal(*{"mixed": (6.3, 0.9), "short": (4.5, 0.6), "many": (6, 1)}[name],
+                                       30_000).astype(int) + 1, 2048)
+    counts = {int(v): int(n) * (50 if name == "many" else 1)
+              for v, n in zip(*np.unique(lengths, return_counts=True))}
+    fitted, left = packing.fitted_plan(counts)
+    for v, n in counts.items():
+        assert sum(p.count(v) * k for p, k in fitted.items()) + left.get(v, 0) == n
+    assert all(sum(p) <= 2048 for p in fitted)
+    partial = {v: n for v, n in counts.items() if v < 2048}
+    tokens = sum(v * n for v, n in partial.items())
+    placed = sum(sum(p) * k for p, k in fitted.items() if p != (2048,))
+    assert placed >= 0.6 * tokens
+    used = sum(fitted.values()) + sum(packing.best_fit(left, 2048).values())
+    assert used <= 1.005 * sum(v * n for v, n in counts.items()) / 2048 + 2
+
+
+def test_least_squares_stay_non_negative_and_fit():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 3, (30, 12)).astype(float)
+    want = np.maximum(rng.normal(size=12), 0)
+    i, j = np.nonzero(a)
+    x = packing.nnls(i, j, a[i, j], a @ want, 12, rounds=5000)
+    assert (x >= 0).all() and np.allclose(x, want, atol=1e-3)
+    x = packing.nnls(i, j, a[i, j], -np.ones(30), 12)
+    assert np.allclose(x, 0)
+
+
+def test_many_shares_give_the_same_ranks(real, monkeypatch):
+    pieces = packing.token_pieces(real, P.path("byte_bpe_50k.json"))
+    monkeypatch.setattr(packing, "SHARE_PIECES", 20)
+    got = packing.pack(pieces).collect()
+    places = {(r["sequence_id"], r["offset"]) for r in got}
+    assert len(places) == len(got) == pieces.count()
+    ends = {(r["sequence_id"], r["offset"] + r["length"]) for r in got}
+    assert all(o == 0 or (s, o) in ends for s, o in places)
+
+
 def test_packing_empty_table(none):
     assert packing.pack(packing.token_pieces(none, P.path("byte_bpe_50k.json"))).collect() == []
 
