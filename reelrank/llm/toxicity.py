@@ -6,8 +6,10 @@ sentences (with a leak for labels that no sentence explains). Training uses
 document labels only and yet tells which sentences offend.
 
 The fit sees a bounded sample of the labelled training documents
-(``SAMPLE_DOCS``, by a hash of the id): their word counts per class choose
-the vocabulary, and the known words of their sentences reach the driver.
+(``SAMPLE_DOCS`` label ids by a hash of the id, and of their rows as many by a
+hash of id and text, equal rows once): their word counts per class choose the
+vocabulary, and the known words of their sentences, equal sets counted, reach
+the driver.
 
 Cases: null and empty texts have no sentence and get the leak's score; rows
 with equal or null ids are scored each on their own (null ids are never held
@@ -93,47 +95,53 @@ def toxic_words(labelled: DataFrame, n_pos: int, n_neg: int,
     return {r["word"]: r["odds"] for r in best.collect()}
 
 
-def _bags(text: str, known: dict[str, int]) -> tuple[int, list[list[int]]]:
-    """Number of sentences without a known word; the known words of each other."""
-    plain, bags = 0, []
-    lowered = text.lower()
-    for s in _WORDED.findall(lowered):
+def _bags(text: str, known: dict[str, int]) -> tuple[int, Counter]:
+    """Number of sentences without a known word; of the others, how often
+    each set of known words occurs."""
+    plain, bags = 0, Counter()
+    for s in _WORDED.findall(text.lower()):
         words = features(s)
         if words:
-            hit = [known[w] for w in words if w in known]
+            hit = tuple(sorted(known[w] for w in words if w in known))
             if hit:
-                bags.append(hit)
+                bags[hit] += 1
             else:
                 plain += 1
     return plain, bags
 
 
 def _bag_task(known: dict[str, int]):
+    kind = pa.list_(pa.struct([("words", pa.list_(pa.int32())), ("n", pa.int64())]))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [_bags(t, known) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "y": batch.column(0),
                 "plain": pa.array([p for p, _ in found], pa.int64()),
-                "bags": pa.array([b for _, b in found], pa.list_(pa.list_(pa.int32())))})
+                "bags": pa.array([[{"words": w, "n": n} for w, n in b.items()]
+                                  for _, b in found], kind)})
     return run
 
 
-def fit_noisy_or(y: np.ndarray, plain: np.ndarray, bags: list[list[list[int]]],
+def fit_noisy_or(y: np.ndarray, plain: np.ndarray, bags: list[list[tuple[list[int], int]]],
                  prior: np.ndarray, steps: int = 400, pull: float = 0.3,
                  rate: float = 0.08) -> tuple[np.ndarray, float, float]:
-    """Weights, bias and leak by Adam on the noisy-or likelihood; weights
+    """Weights, bias and leak by Adam on the noisy-or likelihood of documents
+    with ``plain`` sentences and bags (words, sentences) of the others; weights
     are pulled towards ``prior``, so that a word which others explain away
     in the sample keeps what the counts say."""
-    doc, sent, feat = [], [], []
+    doc, times, sent, feat = [], [], [], []
     s = 0
     for i, doc_bags in enumerate(bags):
-        for b in doc_bags:
+        for b, count in doc_bags:
             doc.append(i)
+            times.append(count)
             sent += [s] * len(b)
             feat += b
             s += 1
     doc, sent, feat = np.array(doc, int), np.array(sent, int), np.array(feat, int)
+    times = np.array(times, float)
     n = len(y)
     n_features = len(prior)
     theta = np.concatenate([prior, [-6.0, -3.0]])
@@ -142,10 +150,10 @@ def fit_noisy_or(y: np.ndarray, plain: np.ndarray, bags: list[list[list[int]]],
         w, b, leak = theta[:-2], theta[-2], theta[-1]
         z = b + np.bincount(sent, weights=w[feat], minlength=s)
         # -log(1 - P) is the sum of softplus over sentences and leak
-        energy = (np.bincount(doc, weights=np.logaddexp(0, z), minlength=n)
+        energy = (np.bincount(doc, weights=times * np.logaddexp(0, z), minlength=n)
                   + plain * np.logaddexp(0, b) + np.logaddexp(0, leak))
         d_energy = np.where(y == 1, -1.0 / np.expm1(np.maximum(energy, 1e-9)), 1.0)
-        dz = d_energy[doc] / (1 + np.exp(-z))
+        dz = times * d_energy[doc] / (1 + np.exp(-z))
         sig_b, sig_l = 1 / (1 + np.exp(-b)), 1 / (1 + np.exp(-leak))
         grad = np.concatenate([
             np.bincount(feat, weights=dz[sent], minlength=n_features) + pull * (w - prior),
@@ -161,14 +169,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
                           & ~held_out(id_col))
              .groupBy(F.col(id_col).cast("long").alias("_id"))
              .agg(F.max(F.col(label).cast("int")).alias("y")))
-    # a threshold on the id's hash: sample_docs ids, give or take a few
-    # hundred, the same ones in every run; small enough to broadcast
-    cut = int(min(1.0, sample_docs / max(marks.count(), 1)) * 2**62)
-    chosen = marks.where(F.shiftrightunsigned(F.xxhash64("_id"), 2) <= cut)
-    labelled = written(
-        docs.select(F.col(id_col).cast("long").alias("_id"),
-                    F.coalesce(F.col(text), F.lit("")).alias("t"))
-        .join(F.broadcast(chosen), "_id").select("y", "t"), "labelled")
+    # thresholds on hashes: sample_docs ids, give or take a few hundred, the
+    # same ones in every run and small enough to broadcast; and of their rows,
+    # equal ones once, no more than that either, whatever an id repeats
+    def drawn(n: int, *by: str) -> Column:
+        cut = int(min(1.0, sample_docs / max(n, 1)) * 2**62)
+        return F.shiftrightunsigned(F.xxhash64(*by), 2) <= cut
+
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"),
+                       F.coalesce(F.col(text), F.lit("")).alias("t")).withColumn(
+        "_digest", F.xxhash64("t")).join(F.broadcast(marks.where(drawn(marks.count(), "_id"))), "_id")
+    texts = rows.select("_id", "_digest").distinct().count()
+    labelled = written(rows.where(drawn(texts, "_digest", "_id")).groupBy("_id", "_digest").agg(
+        F.first("y").alias("y"), F.first("t").alias("t")).select("y", "t"), "labelled")
     totals = {r["y"]: r["n"] for r in labelled.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n_pos, n_neg = totals.get(1, 0), totals.get(0, 0)
     rate = (n_pos + 0.5) / (n_pos + n_neg + 10.0)
@@ -178,12 +191,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
         return constant
     known = {w: i for i, w in enumerate(words)}
     bags = labelled.select("y", "t").mapInArrow(
-        _bag_task(known), "y int, plain long, bags array<array<int>>").collect()
+        _bag_task(known),
+        "y int, plain long, bags array<struct<words:array<int>,n:long>>").collect()
+    # an order of their own: the fit's sums do not depend on the tasks'
+    bags.sort(key=lambda r: (r["y"], r["plain"], [(b["words"], b["n"]) for b in r["bags"]]))
     y = np.array([r["y"] for r in bags])
     if not len(y) or y.min() == y.max():
         return constant
     w, b, leak = fit_noisy_or(y, np.array([r["plain"] for r in bags], float),
-                              [r["bags"] for r in bags], np.array(list(words.values())))
+                              [[(b["words"], b["n"]) for b in r["bags"]] for r in bags], np.array(list(words.values())))
     return Model({t: float(x) for t, x in zip(words, w)}, b, leak)
 
 

@@ -183,6 +183,56 @@ def test_toxicity_odd_rows(odd, none, rated):
     assert not constant.weights
 
 
+def test_the_score_is_the_noisy_or_of_its_sentences():
+    model = toxicity.Model({"vile": 2.0, "foul": 1.0, "^viles": 0.5}, -3.0, -4.0)
+    text = "A vile day. Nothing here! vile foul\nVilesome vileness? 12 34. ok"
+    sigma = lambda z: 1 / (1 + math.exp(-z))
+    sentences = [{"vile"}, set(), {"vile", "foul"}, {"^viles"}, set()]
+    clean = 1 - sigma(model.leak)
+    for hit in sentences:
+        clean *= 1 - sigma(model.bias + sum(model.weights[w] for w in hit))
+    score, spans = toxicity.Scorer(model)(text)
+    assert score == pytest.approx(1 - clean)
+    assert [text[a:b].strip() for a, b, _ in spans] == []  # none over one half
+    assert toxicity.Scorer(model)("")[0] == pytest.approx(sigma(model.leak))
+
+
+def test_the_fit_climbs_the_noisy_or_likelihood():
+    rng = np.random.default_rng(8)
+    bags = [[(sorted(set(rng.integers(0, 4, 2).tolist())), int(rng.integers(1, 3)))
+             for _ in range(rng.integers(0, 3))] for _ in range(300)]
+    plain = rng.integers(0, 5, 300).astype(float)
+    true, prior = np.array([3.0, 0.0, 1.0, 2.0]), np.zeros(4)
+
+    def energies(w, b, leak):
+        return np.array([np.logaddexp(0, leak) + p * np.logaddexp(0, b) + sum(
+            n * np.logaddexp(0, b + w[words].sum()) for words, n in x) for p, x in zip(plain, bags)])
+
+    def loss(theta):
+        e = energies(theta[:4], theta[4], theta[5])
+        return -(np.where(y == 1, np.log(-np.expm1(-e)), -e)).sum() + 0.15 * ((theta[:4] - prior) ** 2).sum()
+
+    y = (rng.random(300) < -np.expm1(-energies(true, -3.0, -4.0))).astype(int)
+    w, b, leak = toxicity.fit_noisy_or(y, plain, bags, prior, steps=4000)
+    theta = np.array([*w, b, leak])
+    for k in range(6):  # no step in any direction lowers the loss by much
+        for step in (0.05, -0.05):
+            moved = theta.copy()
+            moved[k] += step
+            assert loss(moved) > loss(theta) - 2e-3
+
+
+def test_a_hot_labelled_id_does_not_outgrow_the_sample(spark, rated, monkeypatch):
+    docs, labels = rated
+    hot = spark.createDataFrame([(1, f"vile text {i}") for i in range(3000)] + [(1, "same")] * 3000,
+                                "doc_id long, text string")
+    seen = []
+    fit = toxicity.fit_noisy_or
+    monkeypatch.setattr(toxicity, "fit_noisy_or", lambda y, *a: seen.append(len(y)) or fit(y, *a))
+    toxicity.train(docs.union(hot), labels, sample_docs=700)
+    assert 300 < seen[0] < 850
+
+
 # --- language model ----------------------------------------------------------------------
 
 def test_base_scores(odd):
