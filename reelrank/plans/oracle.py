@@ -340,6 +340,10 @@ SELECT event_id, user_id, CASE WHEN event_id IS NOT NULL AND ts IS NOT NULL AND
         "csv_rejects": """SELECT CASE WHEN o_orderkey % 10 IN (3, 7) THEN 'reject' ELSE 'row' END AS kind,
   o_orderkey || ',' || o_custkey || CASE WHEN o_orderkey % 10 = 7 THEN '' ELSE ',4.5' END
   || CASE WHEN o_orderkey % 10 = 3 THEN ',more' ELSE '' END AS line FROM orders""",
+        "csv_multiline": """SELECT o_orderkey::VARCHAR AS movieId, o_custkey::VARCHAR AS userId,
+  CASE o_orderkey % 10 WHEN 3 THEN 'two' || chr(10) || 'lines, "and" three' || chr(10) || chr(10) || 'of them'
+    WHEN 5 THEN 'plain goes on and on' WHEN 7 THEN 'quoted over, two' || chr(10) || 'lines' ELSE 'short' END AS quote,
+  left(o_orderdate::VARCHAR, 10) AS creationDate, '8' AS rating FROM orders""",
         "seen_pairs": "SELECT DISTINCT o_custkey AS userId, l_partkey AS itemId"
                       " FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
         "item_similarity_min": with_(REVIEWS, RATINGS, *pair_ctes("ratings", "r")) +

@@ -23,6 +23,7 @@ from reelrank.operators.rank import minmax_scale, topn_per_user
 from reelrank.plans.hybrid import hybrid_recommendations
 from reelrank.session import ensure_checkpoint_dir, write_table_once
 from reelrank.sources.csv import read_reviews
+from reelrank.sources.records import read_repaired
 from reelrank.sources.sinks import write_table
 from reelrank.sources.tables import review_texts, reviews, table
 
@@ -240,6 +241,23 @@ def q_clean_text_entities(spark, d):
     return pages.select("page_id", clean_text(F.concat(head, F.coalesce("html", F.lit("")))).alias("text"))
 
 
+def q_csv_multiline(spark, d):
+    """Orders as CSV lines of which some have quoted line breaks, some go on
+    in lines of one field (plain or quoted), with blank lines between."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    head = F.concat_ws(",", k, F.col("o_custkey"))
+    end = F.concat(F.lit(","), F.substring(F.col("o_orderdate").cast("string"), 1, 10), F.lit(",8"))
+    text = (F.when(k % 10 == 3, F.concat(head, F.lit(',"two\nlines, ""and"" three\n\nof ' + 'them"'), end))
+            .when(k % 10 == 5, F.concat(head, F.lit(",plain"), end, F.lit("\ngoes on\n\nand on")))
+            .when(k % 10 == 7, F.concat(head, F.lit(',"quoted"'), end, F.lit('\n,,,,\n"over, two\nlines"')))
+            .otherwise(F.concat(head, F.lit(",short"), end)))
+    path = _scratch(spark, "multiline")
+    o.select(text.alias("value")).write.text(path)
+    rows, _ = read_repaired(spark, path, ("movieId", "userId", "quote", "creationDate", "rating"))
+    return rows
+
+
 # Markup put before each page in turn, for ``clean_text_markup``.
 MARKUP_HEADS = (
     '<a title="1>0">quoted</a> ', "<b a='x>y' >single</b> ", '<i a = "p>q"b=r>spaced</i> ',
@@ -422,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "split_rejected_rows": q_split_rejected_rows,
     "csv_roundtrip": q_csv_roundtrip,
     "csv_rejects": q_csv_rejects,
+    "csv_multiline": q_csv_multiline,
     "item_similarity_min": q_item_similarity_min,
     "clean_text_entities": q_clean_text_entities,
     "clean_text_markup": q_clean_text_markup,
