@@ -7,10 +7,20 @@ count 0), is cut into classes 0-4 at fixed points, and maps to a 1-5
 score. A text's sentiment is the mean of its sentence scores (3.0 when
 it has no sentence); the longest-sentence and first-sentence readings
 are returned too. Whole texts are scored; each distinct text once.
+
+A model of one's own takes the lexicon's place through ``scorer``: it is
+loaded once per Python worker and gives the class of each sentence.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+from typing import Protocol
+
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelrank.functions.scalar import (class_to_label, class_to_score, label_to_score,
@@ -70,11 +80,75 @@ def sentence_scores(texts: DataFrame, lexicon: DataFrame, cuts=CUTS,
                       class_to_label(cls).alias("label"))
 
 
-def review_sentiment(texts: DataFrame, scores: DataFrame) -> DataFrame:
+class Scorer(Protocol):
+    """What ``review_sentiment`` takes for a model: equal scorers must be
+    hashable and compare equal, as they are found again in a worker by value."""
+
+    def load(self) -> Callable[[list[str]], list[int]]:
+        """The model: the class (0 to 4) of each of a list of sentences."""
+
+
+@dataclass(frozen=True)
+class LinearScorer:
+    """A small linear model over counts of a sentence: letter tokens,
+    characters, capitals A-Z, and characters of ``marks``; its value is cut
+    into classes as a mean polarity is."""
+    tokens: float = 0.0
+    characters: float = 0.0
+    capitals: float = 0.0
+    symbols: float = 0.0
+    bias: float = 0.0
+    marks: str = "#*$%&"
+    cuts: tuple[float, ...] = CUTS
+
+    def load(self) -> Callable[[list[str]], list[int]]:
+        letters, marks = regex.compile(r"\p{L}+"), set(self.marks)
+
+        def classes(sentences: list[str]) -> list[int]:
+            out = []
+            for s in sentences:
+                value = (self.bias + self.tokens * len(letters.findall(s)) + self.characters * len(s)
+                         + self.capitals * sum("A" <= c <= "Z" for c in s)
+                         + self.symbols * sum(c in marks for c in s))
+                low, under, over, high = self.cuts
+                out.append(0 if value < low else 1 if value < under else
+                           2 if value <= over else 3 if value <= high else 4)
+            return out
+        return classes
+
+
+@lru_cache(maxsize=4)
+def _loaded(scorer: Scorer) -> Callable[[list[str]], list[int]]:
+    return scorer.load()
+
+
+def model_sentence_scores(texts: DataFrame, scorer: Scorer) -> DataFrame:
+    """doc_id, pos, n_chars, class, score, label per sentence that has at
+    least one letter, by ``scorer`` in Arrow batches."""
+    @F.pandas_udf("int")
+    def classes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = _loaded(scorer)
+        for sentences_ in batches:
+            yield pd.Series(model(sentences_.tolist()), dtype="int32")
+
+    sent = (texts.select("doc_id", F.posexplode(sentences("text")).alias("pos", "sentence"))
+            .where(F.col("sentence").rlike(r"\p{L}")))
+    rows = sent.select("doc_id", "pos", F.length("sentence").alias("n_chars"),
+                       classes("sentence").alias("class"))
+    return rows.select("doc_id", "pos", "n_chars", "class", class_to_score("class").alias("score"),
+                       class_to_label("class").alias("label"))
+
+
+def review_sentiment(texts: DataFrame, scores: DataFrame | None = None,
+                     scorer: Scorer | None = None) -> DataFrame:
     """doc_id, n_sentences, sentiment (mean sentence score, HALF_UP 2),
     sentiment_longest (score of the longest sentence, first on a tie),
     sentiment_first, label_first; a text with no sentence (null, empty,
-    punctuation only) gets 3.0 / NEUTRAL."""
+    punctuation only) gets 3.0 / NEUTRAL. The sentences' scores are given, or
+    come from ``scorer``."""
+    if (scores is None) == (scorer is None):
+        raise ValueError("give either scores or a scorer")
+    scores = scores if scorer is None else model_sentence_scores(texts, scorer)
     per_doc = scores.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_sentences"),
         F.sum(F.col("score").cast("long")).alias("_sum"),

@@ -11,7 +11,7 @@ from reelrank.functions.hashing import unit_hash_sql
 from reelrank.functions.text import SENTENCE, TOKEN
 from reelrank.operators.sentiment import CUTS
 from reelrank.plans.queries import (BATCH_TOP, CAP_PER_USER, GD, GD_ROUNDS, MIN_SIMILARITY, PIVOT_ITEMS, REVIEW_KEYS,
-                                    SAMPLE_FRACTION, SAMPLE_ROWS, SEED, TARGET, TOP_N, TOP_PER_USER)
+                                    SAMPLE_FRACTION, SAMPLE_ROWS, SCORER, SEED, TARGET, TOP_N, TOP_PER_USER)
 
 
 def lit(s: str) -> str:
@@ -162,6 +162,12 @@ def sentence_ctes() -> list[str]:
   FROM stoks LEFT JOIN lex USING (token) GROUP BY doc_id, pos, n_chars)""",
         f"""scls AS (SELECT *, CASE WHEN polarity < {c[0]} THEN 0 WHEN polarity < {c[1]} THEN 1
     WHEN polarity <= {c[2]} THEN 2 WHEN polarity <= {c[3]} THEN 3 ELSE 4 END AS class FROM sper)""",
+    ] + document_ctes()
+
+
+def document_ctes() -> list[str]:
+    """Scores and labels of ``scls`` (doc_id, pos, n_chars, class), per document."""
+    return [
         """sscore AS (SELECT *, CAST(CASE class WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4
       WHEN 4 THEN 5 ELSE 3 END AS DOUBLE) AS score,
     CASE WHEN class IN (0, 1) THEN 'NEGATIVE' WHEN class = 2 THEN 'NEUTRAL'
@@ -179,6 +185,22 @@ def sentence_ctes() -> list[str]:
     ]
 
 
+def scored_ctes() -> list[str]:
+    """Sentence classes by the linear model of ``review_sentiment_scored``."""
+    c, w = CUTS, SCORER
+    return [
+        f"""sents AS (SELECT doc_id, unnest(s) AS sentence, unnest(generate_series(0, len(s) - 1)) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, {lit(SENTENCE)}) AS s FROM documents))""",
+        f"""sval AS (SELECT doc_id, pos, length(sentence) AS n_chars, {w['bias']}
+    + {w['tokens']} * len(regexp_extract_all(sentence, {lit(TOKEN)})) + {w['characters']} * length(sentence)
+    + {w['capitals']} * len(regexp_extract_all(sentence, '[A-Z]'))
+    + {w['symbols']} * len(regexp_extract_all(sentence, '[#*$%&]')) AS v
+  FROM sents WHERE regexp_matches(sentence, '\\p{{L}}'))""",
+        f"""scls AS (SELECT doc_id, pos, n_chars, CASE WHEN v < {c[0]} THEN 0 WHEN v < {c[1]} THEN 1
+    WHEN v <= {c[2]} THEN 2 WHEN v <= {c[3]} THEN 3 ELSE 4 END AS class FROM sval)""",
+    ] + document_ctes()
+
+
 def gd_ctes() -> list[str]:
     rank, seed = GD["rank"], GD["seed"]
     return [
@@ -340,6 +362,8 @@ SELECT event_id, user_id, CASE WHEN event_id IS NOT NULL AND ts IS NOT NULL AND
         "csv_rejects": """SELECT CASE WHEN o_orderkey % 10 IN (3, 7) THEN 'reject' ELSE 'row' END AS kind,
   o_orderkey || ',' || o_custkey || CASE WHEN o_orderkey % 10 = 7 THEN '' ELSE ',4.5' END
   || CASE WHEN o_orderkey % 10 = 3 THEN ',more' ELSE '' END AS line FROM orders""",
+        "csv_one_object": with_(REVIEWS, RATINGS) +
+        "SELECT userId, count(DISTINCT itemId) AS n_seen FROM ratings GROUP BY userId",
         "csv_multiline": """SELECT o_orderkey::VARCHAR AS movieId, o_custkey::VARCHAR AS userId,
   CASE o_orderkey % 10 WHEN 3 THEN 'two' || chr(10) || 'lines, "and" three' || chr(10) || chr(10) || 'of them'
     WHEN 5 THEN 'plain goes on and on' WHEN 7 THEN 'quoted over, two' || chr(10) || 'lines' ELSE 'short' END AS quote,
@@ -359,6 +383,7 @@ SELECT event_id, user_id, CASE WHEN event_id IS NOT NULL AND ts IS NOT NULL AND
         """SELECT doc_id, CAST(pos AS BIGINT) AS pos, CAST(n_chars AS BIGINT) AS n_chars, n_tokens,
   round(polarity, 9) AS polarity, CAST(class AS BIGINT) AS class, score, label FROM sscore""",
         "review_sentiment": with_(*sentence_ctes()) + "SELECT * FROM sentiment",
+        "review_sentiment_scored": with_(*scored_ctes()) + "SELECT * FROM sentiment",
         "label_to_score": with_(*sentence_ctes()) +
         f"""SELECT doc_id, lower(label_first) AS label,
   round(CASE lower(label_first) WHEN 'positive' THEN CAST(4.0 AS DOUBLE) + {unit_hash_sql(['doc_id'], SEED)}

@@ -24,7 +24,7 @@ from reelrank.plans.hybrid import hybrid_recommendations
 from reelrank.session import ensure_checkpoint_dir, write_table_once
 from reelrank.sources.csv import read_reviews
 from reelrank.sources.records import read_repaired
-from reelrank.sources.sinks import write_table
+from reelrank.sources.sinks import write_one_object, write_table
 from reelrank.sources.tables import review_texts, reviews, table
 
 # The reference's job parameters (target user, list length,
@@ -241,6 +241,15 @@ def q_clean_text_entities(spark, d):
     return pages.select("page_id", clean_text(F.concat(head, F.coalesce("html", F.lit("")))).alias("text"))
 
 
+def q_csv_one_object(spark, d):
+    """Items rated per user as one named CSV object that replaces another,
+    read back."""
+    path = f"{_scratch(spark, 'object')}.csv"
+    write_one_object(spark.range(3), path)
+    write_one_object(ra.seen_report(_ratings(spark, d)), path)
+    return spark.read.schema("userId long, n_seen long").option("header", True).csv(path)
+
+
 def q_csv_multiline(spark, d):
     """Orders as CSV lines of which some have quoted line breaks, some go on
     in lines of one field (plain or quoted), with blank lines between."""
@@ -332,6 +341,16 @@ def q_review_sentiment(spark, d):
     return _sentiment(spark, d)
 
 
+# A linear model for ``review_sentiment_scored``: weights are multiples of
+# 1/64, so that every engine gets the same sums.
+SCORER = dict(tokens=2 / 64, characters=-1 / 64, capitals=-8 / 64, symbols=-16 / 64, bias=28 / 64)
+
+
+def q_review_sentiment_scored(spark, d):
+    """Sentiment by a model of one's own, loaded once per worker."""
+    return se.review_sentiment(review_texts(spark, d), scorer=se.LinearScorer(**SCORER))
+
+
 def q_label_to_score(spark, d):
     return se.label_scores(_sentiment(spark, d), SEED)
 
@@ -441,6 +460,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "csv_rejects": q_csv_rejects,
     "csv_multiline": q_csv_multiline,
+    "csv_one_object": q_csv_one_object,
     "item_similarity_min": q_item_similarity_min,
     "clean_text_entities": q_clean_text_entities,
     "clean_text_markup": q_clean_text_markup,
@@ -454,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "polarity_lexicon": q_polarity_lexicon,
     "sentence_scores": q_sentence_scores,
     "review_sentiment": q_review_sentiment,
+    "review_sentiment_scored": q_review_sentiment_scored,
     "label_to_score": q_label_to_score,
     "scored_reviews": q_scored_reviews,
     "blend_recommendations": q_blend_recommendations,

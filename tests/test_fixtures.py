@@ -192,3 +192,29 @@ def test_round_ratio_half_up(spark, num, den, expected):
     df = spark.createDataFrame([(num, den)], "a long, b long")
     assert df.select(round_ratio_half_up("a", "b").alias("r")).first().r == expected
     assert math.isclose(expected, round(num / den + 1e-12, 2))
+
+
+def test_a_model_of_ones_own_scores_sentences(spark):
+    texts = spark.createDataFrame([(1, "Good good. BAD BAD BAD! 123. ..."), (2, None), (3, "#x")],
+                                  "doc_id long, text string")
+    scorer = se.LinearScorer(capitals=-0.25, symbols=-0.2, tokens=0.5)
+    got = {(r.doc_id, r.pos): (r["class"], r.score) for r in se.model_sentence_scores(texts, scorer).collect()}
+    # "Good good": 1.0 - 0.25; " BAD BAD BAD": 1.5 - 2.25; "#x": 0.5 - 0.2; no letters: none
+    assert got == {(1, 0): (4, 5.0), (1, 1): (0, 1.0), (3, 0): (3, 4.0)}
+    out = {r.doc_id: r for r in se.review_sentiment(texts, scorer=scorer).collect()}
+    assert (out[1].sentiment, out[1].sentiment_longest, out[1].label_first) == (3.0, 1.0, "POSITIVE")
+    assert out[2].sentiment == 3.0 and out[3].n_sentences == 1
+    with pytest.raises(ValueError):
+        se.review_sentiment(texts)
+
+
+def test_a_model_is_loaded_once_per_worker():
+    class Counting(se.LinearScorer):
+        loads = 0
+
+        def load(self):
+            Counting.loads += 1
+            return super().load()
+
+    assert [se._loaded(Counting(tokens=9.0))(["a b"]) for _ in range(3)] == [[4]] * 3
+    assert Counting.loads == 1

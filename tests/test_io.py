@@ -71,3 +71,41 @@ def test_write_table_once_sorted_and_filterable(spark):
     assert back.inputFiles() and all(ckpt in f.replace("file:", "") for f in back.inputFiles())
     plan = back.filter("userId = 1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(userId,1)" in plan
+
+
+def test_one_named_object(spark, tmp_path):
+    from reelrank.sources.sinks import write_one_object
+    path = str(tmp_path / "out" / "list.csv")
+    read = lambda: sorted(r.id for r in spark.read.option("header", True).csv(path).collect())
+    write_one_object(spark.range(5).repartition(4), path)
+    assert read() == list("01234") and open(path).read().count("id") == 1
+    write_one_object(spark.range(2).repartition(2), path)
+    assert read() == ["0", "1"]
+    failing = spark.range(9).selectExpr("if(id = 7, raise_error('stop'), id) as id")
+    for bad, rows in ((failing, 100), (spark.range(9), 4)):
+        with pytest.raises(Exception):
+            write_one_object(bad, path, rows)
+        assert read() == ["0", "1"]  # the old object stays whole
+    write_one_object(spark.range(0), path)
+    assert read() == []
+    assert [p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")
+            and ".attempt-" not in p.name] == ["list.csv"]
+
+
+def test_named_parts(spark, tmp_path):
+    from reelrank.sources.sinks import write_named_parts
+    names = write_named_parts(spark.range(100).repartitionByRange(3, "id"), str(tmp_path / "parts"), "p")
+    assert [n.rsplit("/", 1)[1] for n in names] == [f"p-{i:05d}.csv" for i in range(3)]
+    rows = [int(r.id) for n in names for r in spark.read.option("header", True).csv(n).collect()]
+    assert rows == list(range(100))
+
+
+def test_write_modes(spark, tmp_path):
+    from reelrank.sources.sinks import write_recommendations
+    path = str(tmp_path / "recs")
+    one = spark.createDataFrame([(1, 2, 3.0)], "userId long, itemId long, totalScore double")
+    write_recommendations(one, path, mode="errorifexists", single_file=True)
+    with pytest.raises(Exception):
+        write_recommendations(one, path, mode="errorifexists")
+    write_recommendations(one.union(one), path, mode="overwrite")
+    assert spark.read.option("header", True).csv(path).count() == 2
