@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,6 +185,37 @@ def test_gradient_descent_loss_falls_and_repeats(spark, rand_df):
     assert all(0.0 <= r.totalScore <= 5.0 for r in recs)
 
 
+def test_user_knn_for_a_set_with_heavy_items_and_users(spark):
+    """One item that a third of all ratings are of, one user with very many:
+    the same lists as user by user, and no task with a large share."""
+    rows = [(u, 0, 1.0 + u % 5) for u in range(400)]
+    rows += [(u, 1 + (u * 7 + k) % 60, 1.0 + (u + k) % 5) for u in range(400) for k in range(2)]
+    rows += [(7, i, 3.0) for i in range(100, 300)]
+    df = spark.createDataFrame(sorted({r[:2]: r for r in rows}.values()),
+                               "userId long, itemId long, rating double")
+    users = spark.createDataFrame([(3,), (7,), (50,), (999,)], "userId long")
+    for share in (1, 10, 1000):  # nothing heavy, one item and one user, all
+        got = defaultdict(list)
+        for r in nb.user_knn_for(df, users, 6, share=share).collect():
+            got[r.userId].append((r["rank"], r.itemId, round(r.totalScore, 9)))
+        for u in (3, 7, 50):
+            one = nb.user_knn(df, u, 6).collect()
+            assert sorted(got[u]) == [(k + 1, r.itemId, round(r.totalScore, 9)) for k, r in enumerate(one)]
+        assert set(got) == {3, 7, 50}
+    # what the blocks hold: with 30 ratings each, no task sees a tenth of them
+    heavy = nb._heavy(df, "itemId", 10)
+    assert [r.itemId for r in heavy.collect()] == [0]
+    own = df.where("userId in (3, 7, 50)").selectExpr("userId as target", "itemId", "rating as t_rating")
+    block = nb._block_sums
+    table = pa.table({"userId": list(range(30)), "itemId": [0] * 30, "rating": [2.0] * 30})
+    want = pa.table({"target": [3, 50], "item": [0, 0], "t_rating": [4.0, 1.0]})
+    out = block(table, want).to_pylist()
+    assert len(out) == 59 and {(r["dot"], r["tt"], r["uu"]) for r in out} == {(8.0, 16.0, 4.0), (2.0, 1.0, 4.0)}
+    a = {(r.target, r.userId): (r.dot, r.tt, r.uu) for r in nb.shared_item_sums(df, own, heavy, 30).collect()}
+    b = {(r.target, r.userId): (r.dot, r.tt, r.uu) for r in nb.shared_item_sums(df, own, heavy.limit(0)).collect()}
+    assert a == b and len(a) == 3 * 399
+
+
 def test_descent_round_equals_plain_sums(spark, rand_df, rand_rows):
     """One round against sums written out; also over many small blocks."""
     rank, lam, alpha = 3, 0.1, 0.01
