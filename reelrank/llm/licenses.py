@@ -10,32 +10,23 @@ alignment compares with the template: matched coverage and span.
 Cases: null and empty texts match nothing; templates shorter than a gram are
 an error; rows with equal or null ids are independent; an empty table gives
 no rows; extra columns are ignored; several places of one template are
-several rows; of overlapping places, of whichever template, the best stays.
+several rows; of overlapping places, of whichever template, the one with the
+most matched characters stays (then the higher coverage).
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from reelrank.llm.license_texts import NOTICES, TEXTS
+
 GRAM, WINDOW, BAND, LEAST_COVERAGE = 8, 6, 12, 0.8
-# Public licence notices.
-TEMPLATES: dict[str, str] = {
-    "MIT": "Released under the MIT License.",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without "
-                    "modification, are permitted provided that the following conditions are met",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose "
-           "with or without fee is hereby granted",
-    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy "
-                 "of this software and associated documentation files",
-}
+TEMPLATES: dict[str, str] = {**NOTICES, **TEXTS}
 _FOLD = np.zeros(256, np.uint8)
 for _c in b"abcdefghijklmnopqrstuvwxyz0123456789":
     _FOLD[_c] = _c
@@ -74,29 +65,40 @@ def winnow(h: np.ndarray) -> list[int]:
 
 def align(template: np.ndarray, chars: np.ndarray, shift: int) -> tuple[int, int, int]:
     """(matched, first, last + 1) of a longest-common-subsequence alignment
-    in which template[i] meets chars[i + shift - BAND .. i + shift + BAND]."""
+    in which template[i] meets chars[i + shift - BAND .. i + shift + BAND].
+    Where the template stands there as it is, nothing needs aligning."""
+    size = len(template)
+    if shift >= 0 and np.array_equal(template, chars[shift:shift + size]):
+        return size, shift, shift + size
     width = 2 * BAND + 1
-    score = np.zeros(width + 1, np.int64)  # [k]: matches with chars up to i + shift - BAND + k
-    first = np.full(width + 1, -1, np.int64)
-    last = np.full(width + 1, -1, np.int64)
-    n = len(chars)
-    for i, c in enumerate(template):
-        new, nf, nl = np.zeros_like(score), np.full_like(first, -1), np.full_like(last, -1)
-        for k in range(width):
-            j = i + shift - BAND + k
-            # from the row above: same column is one further right there
-            s, f, l_ = score[k + 1] if k + 1 < width else score[width - 1], -1, -1
-            f, l_ = (first[k + 1], last[k + 1]) if k + 1 < width else (first[width - 1], last[width - 1])
-            if k and new[k - 1] > s:
-                s, f, l_ = new[k - 1], nf[k - 1], nl[k - 1]
-            if 0 <= j < n and chars[j] == c and score[k] + 1 > s:
-                s = score[k] + 1
-                f = first[k] if first[k] >= 0 else j
-                l_ = j + 1
-            new[k], nf[k], nl[k] = s, f, l_
-        score, first, last = new, nf, nl
-    k = int(np.argmax(score[:width]))
-    return int(score[k]), int(first[k]), int(last[k])
+    # the characters of the whole band, 0 outside the text
+    band = np.zeros(size + width, np.uint8)
+    lo, hi = max(0, BAND - shift), min(size + width, len(chars) + BAND - shift)
+    if lo < hi:
+        band[lo:hi] = chars[lo + shift - BAND:hi + shift - BAND]
+    # [k]: best of the characters up to i + shift - BAND + k; a path carries
+    # its first and last place with its score, in one number
+    place = np.arange(width)
+    score, first, last = np.zeros(width, np.int64), np.full(width, -1), np.full(width, -1)
+    for i, c in enumerate(template.tolist()):
+        up = np.concatenate([score[1:], score[-1:]])
+        hit = band[i:i + width] == c
+        matched = np.where(hit, score + 1, -1)
+        best = np.maximum(up, matched)
+        # along the row the best so far goes on; of equals the earliest
+        run = np.maximum.accumulate(best)
+        fresh = np.concatenate([[True], best[1:] > run[:-1]])
+        source = np.maximum.accumulate(np.where(fresh, place, 0))
+        taken = matched > up
+        above = np.minimum(place + 1, width - 1)
+        begin = np.where(taken, np.where(first >= 0, first, i + place), first[above])
+        end = np.where(taken, i + place + 1, last[above])
+        score, first, last = run, begin[source], end[source]
+    k = int(np.argmax(score))
+    offset = shift - BAND
+    if first[k] < 0:
+        return 0, -1, -1
+    return int(score[k]), int(first[k]) + offset, int(last[k]) + offset
 
 
 class Index:
@@ -145,12 +147,16 @@ class Index:
                 if coverage >= LEAST_COVERAGE and b - a <= 1.25 * len(self.chars[t]) + BAND:
                     found.append((self.names[t], int(at[a]), int(at[b - 1]) + 1, coverage, matched))
                 group = [s]
-        found.sort(key=lambda f: (-f[3], -f[4], f[1], f[0]))
+        found.sort(key=lambda f: (-f[4], -f[3], f[1], f[0]))
+        # kept places lie apart: only the neighbours of a place can overlap it
         kept: list[tuple] = []
+        starts: list[int] = []
         for f in found:
-            if all(f[2] <= k[1] or f[1] >= k[2] for k in kept):
-                kept.append(f)
-        return sorted(kept, key=lambda f: (f[1], f[0]))
+            i = bisect.bisect_left(starts, f[2])
+            if i == 0 or kept[i - 1][2] <= f[1]:
+                starts.insert(i, f[1])
+                kept.insert(i, f)
+        return kept
 
 
 def _scan_task(templates: dict[str, str]):

@@ -382,6 +382,68 @@ def test_licences(make):
     assert licenses.scan(docs.where("doc_id = 3")).collect() == []
 
 
+def lcs(template, chars, shift):
+    """Longest common subsequence within the band, cell by cell."""
+    best = {}
+    for i in range(len(template) + 1):
+        for j in range(len(chars) + 1):
+            if i and j:
+                v = max(best[i - 1, j], best[i, j - 1])
+                if template[i - 1] == chars[j - 1] and abs(j - i - shift) <= licenses.BAND:
+                    v = max(v, best[i - 1, j - 1] + 1)
+            else:
+                v = 0
+            best[i, j] = v
+    return best[len(template), len(chars)]
+
+
+def test_alignment_equals_cell_by_cell(monkeypatch):
+    rng = np.random.default_rng(3)
+    for band in (2, licenses.BAND, 40):
+        monkeypatch.setattr(licenses, "BAND", band)
+        for _ in range(25):
+            t = rng.integers(1, 5, rng.integers(5, 40)).astype(np.uint8)
+            text = np.concatenate([rng.integers(1, 5, rng.integers(0, 9)).astype(np.uint8),
+                                   t[rng.random(len(t)) < 0.85],
+                                   rng.integers(1, 5, rng.integers(0, 9)).astype(np.uint8)])
+            shift = int(rng.integers(-3, 9))
+            matched, a, b = licenses.align(t, text, shift)
+            assert matched == lcs(t.tolist(), text.tolist(), shift)
+            if matched:
+                assert 0 <= a < b <= len(text) and b - a >= matched
+
+
+def test_whole_texts_and_headers_are_found(make):
+    wrapped = lambda t: "\n * ".join(t[i:i + 60] for i in range(0, len(t), 60))
+    rows = [(k, f"/* Copyright someone\n * {wrapped(t)} */ int main;")
+            for k, t in enumerate(licenses.TEMPLATES.values())]
+    got = {}
+    for r in licenses.scan(make(rows)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    for k, name in enumerate(licenses.TEMPLATES):
+        assert [r["license"] for r in got[k]] == [name], name
+        assert got[k][0]["coverage"] == 1.0
+    edited = licenses.TEMPLATES["MIT-text"].replace("Software", "Library").replace("AUTHORS", "OWNERS")
+    (r,) = licenses.Index(licenses.TEMPLATES).scan(edited.encode())
+    assert r[0] == "MIT-text" and 0.9 < r[3] < 1 and r[2] - r[1] > 0.98 * len(edited)
+
+
+def test_a_megabyte_of_one_notice_is_quick():
+    import time
+    index = licenses.Index(licenses.TEMPLATES)
+    for notice, least in ((licenses.TEMPLATES["MIT"], 30_000), (licenses.TEMPLATES["MIT-text"], 900)):
+        text = (notice + " ").encode() * (2**20 // len(notice))
+        start = time.process_time()
+        found = index.scan(text)
+        assert len(found) >= least and all(f[3] == 1.0 for f in found)
+        assert time.process_time() - start < 5
+
+
+def test_licences_odd_rows(odd, none):
+    got = licenses.scan(odd.union(odd).selectExpr("*", "1 as license")).collect()
+    assert got == [] and licenses.scan(none).collect() == []
+
+
 def test_winnowing_keeps_one_hash_of_every_window():
     h = np.random.default_rng(0).integers(0, 50, 200).astype(np.uint64)
     picked = set(licenses.winnow(h))
