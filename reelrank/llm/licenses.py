@@ -4,8 +4,9 @@ Texts are reduced to lower-case ASCII letters and digits. Each template's
 hashes of ``GRAM`` characters are winnowed (the smallest of every window of
 ``WINDOW``) into an inverted index; a document looks up all its hashes, so
 any stretch of WINDOW + GRAM - 1 characters it shares with a template is a
-candidate. Hits near one diagonal are one candidate place, which a banded
-alignment compares with the template: matched coverage and span.
+candidate. Hits near one diagonal, a tenth of the template's fingerprints at
+least, are one candidate place, which a banded alignment compares with the
+template: matched coverage and span.
 
 Cases: null and empty texts match nothing; templates shorter than a gram are
 an error; rows with equal or null ids are independent; an empty table gives
@@ -26,6 +27,9 @@ from pyspark.sql import DataFrame, functions as F
 from reelrank.llm.license_texts import NOTICES, TEXTS
 
 GRAM, WINDOW, BAND, LEAST_COVERAGE = 8, 6, 12, 0.8
+# Share of a template's fingerprints that must stand near one diagonal for the
+# place to be a candidate.
+LEAST_SHARED = 0.1
 TEMPLATES: dict[str, str] = {**NOTICES, **TEXTS}
 _FOLD = np.zeros(256, np.uint8)
 for _c in b"abcdefghijklmnopqrstuvwxyz0123456789":
@@ -104,23 +108,40 @@ def align(template: np.ndarray, chars: np.ndarray, shift: int) -> tuple[int, int
 class Index:
     def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
-        self.chars, hashes, owners, places = [], [], [], []
+        self.chars, self.sizes, hashes, owners, places = [], [], [], [], []
         for t, name in enumerate(self.names):
             chars, _ = reduced(templates[name].encode())
             h = gram_hashes(chars)
             if not len(h):
                 raise ValueError(f"template {name!r} is too short")
             self.chars.append(chars)
-            for p in winnow(h):
+            picked = winnow(h)
+            self.sizes.append(len(picked))
+            for p in picked:
                 hashes.append(h[p])
                 owners.append(t)
                 places.append(p)
         order = np.argsort(np.array(hashes, np.uint64), kind="stable")
         self.hashes = np.array(hashes, np.uint64)[order]
         self.owners, self.places = np.array(owners)[order], np.array(places)[order]
+        self._aligned: dict[tuple, tuple[int, int, int]] = {}
         self._low = np.zeros(1 << 16, bool)  # a quick no for most grams
         self._low[(self.hashes >> np.uint64(48)).astype(np.int64)] = True
 
+    def _align(self, t: int, chars: np.ndarray, shift: int) -> tuple[int, int, int]:
+        """``align``, remembered by what stands in the band: notices that
+        repeat are compared once."""
+        lo, hi = shift - BAND, shift + len(self.chars[t]) + BAND
+        key = t, min(lo, 0), chars[max(lo, 0):max(hi, 0)].tobytes()
+        found = self._aligned.get(key)
+        if found is None:
+            if len(self._aligned) >= 20_000:
+                self._aligned.clear()
+            matched, a, b = align(self.chars[t], chars, shift)
+            found = self._aligned[key] = matched, a - shift, b - shift
+        matched, a, b = found
+        return matched, a + shift, b + shift
+
     def scan(self, data: bytes) -> list[tuple[str, int, int, float, int]]:
         """(name, start, end, coverage, matched): byte offsets of ``data``."""
         chars, at = reduced(data)
@@ -142,7 +163,10 @@ class Index:
                 if s is not None and s - group[-1] <= BAND // 2 and s - group[0] <= BAND:
                     group.append(s)
                     continue
-                matched, a, b = align(self.chars[t], chars, group[len(group) // 2])
+                if len(group) < LEAST_SHARED * self.sizes[t]:
+                    group = [s]
+                    continue
+                matched, a, b = self._align(t, chars, group[len(group) // 2])
                 coverage = matched / len(self.chars[t])
                 if coverage >= LEAST_COVERAGE and b - a <= 1.25 * len(self.chars[t]) + BAND:
                     found.append((self.names[t], int(at[a]), int(at[b - 1]) + 1, coverage, matched))
