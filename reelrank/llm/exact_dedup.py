@@ -13,7 +13,7 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reelrank.llm.common import skew_lookup, written
 
@@ -64,13 +64,22 @@ def keep_rows(docs: DataFrame, rows: DataFrame, kept: DataFrame, id_col: str = "
     """The rows of ``docs`` whose (id, text) is in ``kept`` (doc_id,
     text_sha256), each once: rows that repeat id and text are one row.
     ``rows`` has the same two columns for every row of ``docs``; it tells,
-    without the texts, whether there is any such repetition to remove."""
-    keys = kept.select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    without the texts, how often each occurs. Texts are shuffled once, those
+    of pairs that very many rows repeat dealt out by row; only repeated pairs
+    meet a second time, after each task has left one of them."""
+    def key(number: str, digest: Column) -> Column:
+        return F.concat(F.coalesce(F.col(number).cast("string"), F.lit("")), F.lit(":"), digest)
+
+    times = rows.groupBy(key("doc_id", F.col("text_sha256")).alias("_key")).agg(F.count("*").alias("_n"))
+    groups = written(kept.select(key("doc_id", F.col("text_sha256")).alias("_key")).distinct()
+                     .join(times, "_key"), "kept-keys")
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
-    found = docs.withColumn("_digest", digest).join(
-        keys, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_sha")),
-        "left_semi")
-    repeated = rows.groupBy("doc_id", "text_sha256").agg(F.count("*").alias("n")).where("n > 1")
-    if not repeated.isEmpty():
-        found = found.dropDuplicates([id_col, "_digest"])
-    return found.drop("_digest")
+    # the row as one column: its own names meet no others
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                         key(id_col, digest).alias("_key"), F.monotonically_increasing_id().alias("_at"))
+    found = skew_lookup(packed, groups, ["_key"], "_n", ["_at"])
+    single = found.where("_n = 1").select("_doc.*")
+    if groups.where("_n > 1").isEmpty():
+        return single
+    several = found.where("_n > 1").dropDuplicates(["_key"]).select("_doc.*")
+    return single.unionByName(several)
