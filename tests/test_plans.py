@@ -9,15 +9,24 @@ from reelrank.plans.queries import QUERIES
 from .conftest import SF_SMALL
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+from tools.plans import all_plans, plan_of, recorded
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_products(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF_SMALL))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
+    """In no execution of a query, eager steps included."""
+    for plan in all_plans(entry.queries()[name], spark, SF_SMALL):
+        assert "CartesianProduct" not in plan
+        assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_eager_steps_are_recorded(spark):
+    with recorded() as plans:
+        spark.range(3).crossJoin(spark.range(2).hint("shuffle_replicate_nl")).count()
+        spark.range(5).write.format("noop").mode("overwrite").save()
+    assert len(plans) == 2 and "CartesianProduct" in plans[0]
+    for name, least in (("two_hop_scores", 5), ("mf_recommend", 12)):
+        assert len(all_plans(entry.queries()[name], spark, SF_SMALL)) >= least
 
 
 def test_target_filter_reaches_scan(spark):
