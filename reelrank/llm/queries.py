@@ -64,7 +64,9 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    return lm.score(docs, lm.train(docs)).select(
+    words = lm.training_words(docs)
+    encoded = lm.encode(docs, words)
+    return lm.score_encoded(encoded, lm.fit(encoded, words)).select(
         "doc_id", lm.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens",
         "base_score", "score")
 
