@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from reelrank.functions.hashing import unit_hash
 from reelrank.session import cut_lineage
-from reelrank.sizing import DEFAULT_BROADCAST_ROWS, parallelism, sized_broadcast
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, block_count, sized_broadcast
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
            T.FloatType, T.DoubleType, T.DecimalType)
 FLOATING = (T.FloatType, T.DoubleType)
+# Ranges that dense ids are numbered in at least, and keys of one.
+MIN_RANGES, RANGE_KEYS = 8, 1_000_000
 
 
 def _valid_predicate(df: DataFrame, cols: Sequence[str] | None) -> Column:
@@ -104,7 +106,9 @@ def index_ids(df: DataFrame, col: str, method: str = "sorted", partitions: int |
         order = [F.col(col).asc()]
     else:
         raise ValueError(f"unknown method {method!r}")
-    parts = partitions or parallelism(df.sparkSession)
+    keys = cut_lineage(keys)
+    # ranges follow the number of keys, not the cluster
+    parts = partitions or max(MIN_RANGES, block_count(keys.count(), RANGE_KEYS))
     ranged = keys.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     tagged = ranged.select(col, F.spark_partition_id().alias("_pid"),
                            F.monotonically_increasing_id().alias("_mid"))

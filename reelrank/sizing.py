@@ -67,14 +67,5 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return df
 
 
-def parallelism(spark) -> int:
-    """Cores the cluster offers (shuffle partitions when the session has no
-    SparkContext, e.g. a Spark Connect client)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no JVM context on this client
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def block_count(n: int, per_block: int) -> int:
     return max(1, math.ceil(n / max(1, per_block)))
