@@ -105,13 +105,12 @@ def encode_chunks(encoder, found: dict) -> dict:
     """Of each chunk (by key) head fragment, ids and decoded text of its inner
     words, tail fragment."""
     pieces = {k: _fragments(c) for k, c in found.items()}
-    encoder.words([w for _, words, _ in pieces.values() for w in words or ()])
+    get = encoder.words([w for _, words, _ in pieces.values() if words for w in words])
     out = {}
     for k, (head, words, tail) in pieces.items():
         if words is None:
             out[k] = head, None, None, b""
             continue
-        get = encoder.words(words)
         values = [get[w] for w in words]
         out[k] = (head, b"".join([v[0] for v in values]),
                   b" ".join([v[1] for v in values if v[1]]), tail)
@@ -129,27 +128,26 @@ def cut_words(parts) -> list[bytes]:
     return [w for w in (*out, open_word) if w]
 
 
-def join_parts(encoder, parts) -> tuple[bytes, bytes]:
+def join_parts(encoded: dict, parts) -> tuple[bytes, bytes]:
     """The text's ids and decoded text. A word that a cut has split is
-    encoded again from all its fragments: white space bounds what can
-    change, so beyond it the chunks' own tokens already agree."""
+    encoded again from all its fragments (``encoded``: the value of each):
+    white space bounds what can change, so beyond it the chunks' own tokens
+    already agree."""
     ids, decoded, open_word = [], [], b""
-
-    def close() -> None:
-        if open_word:
-            value = encoder.words([open_word])[open_word]
-            ids.append(value[0])
-            decoded.append(value[1])
-
     for head, inner, inner_text, tail in parts:
         open_word += head
         if inner is None:
             continue
-        close()
+        if open_word:
+            value = encoded[open_word]
+            ids.append(value[0])
+            decoded.append(value[1])
         ids.append(inner)
         decoded.append(inner_text)
         open_word = tail
-    close()
+    if open_word:
+        ids.append(encoded[open_word][0])
+        decoded.append(encoded[open_word][1])
     return b"".join(ids), b" ".join([d for d in decoded if d])
 
 
@@ -194,8 +192,8 @@ def _encoder_task(path: str, reused, digests: bool, counted=None):
                     size += len(texts[stop].as_buffer())
                     stop += 1
                 parts = known.parts(texts.slice(start, stop - start).to_pylist())
-                encoder.words([w for p in parts for w in cut_words(p)])
-                out = [join_parts(encoder, p) for p in parts]
+                joins = encoder.words([w for p in parts for w in cut_words(p)])
+                out = [join_parts(joins, p) for p in parts]
                 columns = {"doc_id": keys.slice(start, stop - start),
                            "n_tokens": pa.array([len(i) // 4 for i, _ in out], pa.int64())}
                 if digests:

@@ -16,7 +16,7 @@ from array import array
 
 import numpy as np
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 
 
 def _byte_alphabet() -> dict[str, int]:

@@ -77,7 +77,7 @@ def test_the_task_encodes_new_chunks_and_cut_words_only():
     assert len(spy.asked) == asked and again == [first, first]  # nothing is encoded again
     assert (known.encoded, known.reused) == (len(set(bpe.chunks(text)) and b"".join(
         dict.fromkeys(bpe.chunks(text)))), 3 * len(text) - known.encoded)
-    ids, decoded = bpe.join_parts(spy, first)
+    ids, decoded = bpe.join_parts(spy.words(bpe.cut_words(first)), first)
     assert decoded == b" ".join(text.split()) and len(ids) == 4 * len(text.split())
 
 
