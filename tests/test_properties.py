@@ -332,3 +332,25 @@ def test_plans_do_not_depend_on_cores(monkeypatch, rand_df, rand_rows):
         monkeypatch.setattr(SparkContext, "defaultParallelism", property(lambda _, n=cores: n))
         seen.add((shape(nb.item_pair_stats(q)), shape(nb.unseen_pair_scores_from_ratings(rand_df, target))))
     assert len(seen) == 1
+
+
+def test_als_blocks_do_not_grow_with_the_root_of_the_ratings():
+    # each factor goes to every block that rates it, in every half round
+    assert [fz.als_blocks(n) for n in (0, 300_000, 500_000, 36_000_000, 216_000_000)] == [1, 1, 2, 5, 5]
+    assert fz.als_blocks(10**9) == 20  # a block stays bounded
+
+
+def test_als_residuals_sum_in_place(spark, rand_df):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = fz.als_residuals(rand_df, rank=3, max_iter=3)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan[:plan.index("Join")]  # sums by user follow the join by user
+    assert all(r.residual < 1e-3 for r in out.collect())
+
+
+def test_als_fit_predict_indexes_once(rand_df):
+    plan = fz.als_fit_predict(rand_df, rank=3, max_iter=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "userId_original" not in plan  # the indexed ratings are read, not joined again
