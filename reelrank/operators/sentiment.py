@@ -14,6 +14,7 @@ loaded once per Python worker and gives the class of each sentence.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -27,7 +28,7 @@ from reelrank.functions.scalar import (class_to_label, class_to_score, label_to_
                                        round_ratio_half_up)
 from reelrank.functions.text import sentences, tokens
 from reelrank.session import cut_lineage
-from reelrank.sizing import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from reelrank.sizing import DEFAULT_BROADCAST_ROWS, broadcast_row_bound, sized_broadcast
 
 # Class cut points on a sentence's mean token polarity.
 # class 0 below -0.5, 1 below -0.1, 2 up to 0.1, 3 up to 0.5, else 4.
@@ -59,21 +60,49 @@ def polarity_class(p: Column | str, cuts=CUTS) -> Column:
             .when(p <= cuts[3], 3).otherwise(4))
 
 
+def split_lexicon(lexicon: DataFrame, max_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The tokens of the most documents, at most ``max_rows`` of them, and the
+    others: token, polarity. Tokens in equally many documents stay together."""
+    rows = lexicon.select("token", "polarity", (
+        F.col("df1") + F.col("df0") if {"df1", "df0"} <= set(lexicon.columns) else F.lit(0)).alias("_df"))
+    room, least = max_rows, math.inf
+    # one row per document frequency
+    for r in rows.groupBy("_df").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("_df")).toLocalIterator():
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["_df"]
+    least = F.lit(float(least))
+    return tuple(rows.where(c).select("token", "polarity")
+                 for c in (F.col("_df") >= least, F.col("_df") < least))
+
+
 def sentence_scores(texts: DataFrame, lexicon: DataFrame, cuts=CUTS,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """doc_id, pos, n_chars, n_tokens, polarity, class, score, label per
     sentence that has at least one letter token. Tokens of one sentence
     live in one task, so the partial aggregate leaves one row per
     sentence before the shuffle; the lexicon is broadcast after a
-    bounded size check."""
+    bounded size check. Of a larger one the tokens of the most documents are,
+    and only tokens that are not among these meet the others in a shuffle."""
     sent = texts.select("doc_id", F.posexplode(sentences("text")).alias("pos", "sentence"))
     toks = sent.select("doc_id", "pos", F.length("sentence").alias("n_chars"),
                        F.explode(tokens("sentence")).alias("token"))
-    lex = sized_broadcast(lexicon.select("token", "polarity"), max_broadcast_rows)
-    per = (toks.join(lex, "token", "left")
-           .groupBy("doc_id", "pos", "n_chars")
-           .agg(F.count(F.lit(1)).alias("n_tokens"),
-                F.avg(F.coalesce(F.col("polarity"), F.lit(0.0))).alias("polarity")))
+    lex, key = lexicon.select("token", "polarity"), ["doc_id", "pos", "n_chars"]
+    known = F.coalesce(F.col("polarity"), F.lit(0.0))
+    bound = broadcast_row_bound(lex, max_broadcast_rows)
+    if lexicon.count() <= bound:
+        per = (toks.join(F.broadcast(lex), "token", "left").groupBy(*key)
+               .agg(F.count(F.lit(1)).alias("n_tokens"), F.avg(known).alias("polarity")))
+    else:
+        head, tail = split_lexicon(lexicon, bound)
+        common = toks.join(F.broadcast(head), "token", "left").select(
+            *key, F.lit(1).alias("n"), known.alias("p"))
+        rare = (toks.join(F.broadcast(head.select("token")), "token", "left_anti").join(tail, "token")
+                .select(*key, F.lit(0).alias("n"), known.alias("p")))
+        per = (common.unionByName(rare).groupBy(*key)
+               .agg(F.sum("n").alias("n_tokens"), F.sum("p").alias("p"))
+               .select(*key, "n_tokens", (F.col("p") / F.col("n_tokens")).alias("polarity")))
     cls = polarity_class("polarity", cuts)
     return per.select("doc_id", "pos", "n_chars", "n_tokens", "polarity",
                       cls.alias("class"), class_to_score(cls).alias("score"),

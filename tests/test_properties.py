@@ -354,3 +354,29 @@ def test_als_residuals_sum_in_place(spark, rand_df):
 def test_als_fit_predict_indexes_once(rand_df):
     plan = fz.als_fit_predict(rand_df, rank=3, max_iter=2)._jdf.queryExecution().optimizedPlan().toString()
     assert "userId_original" not in plan  # the indexed ratings are read, not joined again
+
+
+def test_a_large_lexicon_sends_its_common_tokens_to_the_texts(spark):
+    from reelrank.operators import sentiment as se
+    texts = spark.createDataFrame(
+        [(d, " ".join(f"w{chr(97 + (d * k + k * k) % 26)}{chr(97 + k % (1 + d % 9))}" + "!" * (k % 5 == 0)
+                      for k in range(40))) for d in range(50)] + [(50, None), (51, ""), (None, "wa wb. wc")],
+        "doc_id long, text string")
+    lex = se.polarity_lexicon(texts, texts.selectExpr("doc_id", "int(doc_id % 2) quality"))
+    n = lex.count()
+    rows = lambda *a, **k: sorted(
+        ((r.doc_id or -1, r.pos, r.n_chars, r.n_tokens, round(r.polarity, 9), r["class"], r.label)
+         for r in se.sentence_scores(texts, *a, **k).collect()))
+    want = rows(lex)
+    assert n > 60 and len(want) > 300
+    for bound in (1, n // 3, n - 1):
+        head, tail = se.split_lexicon(lex, bound)
+        assert head.count() <= bound and head.count() + tail.count() == n
+        assert rows(lex, max_broadcast_rows=bound) == want
+        assert rows(lex.select("token", "polarity"), max_broadcast_rows=bound) == want
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = se.sentence_scores(texts, lex, max_broadcast_rows=n - 1)._jdf.queryExecution()
+        assert plan.executedPlan().toString().count("BroadcastHashJoin") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
