@@ -380,3 +380,16 @@ def test_a_large_lexicon_sends_its_common_tokens_to_the_texts(spark):
         assert plan.executedPlan().toString().count("BroadcastHashJoin") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_user_knn_for_has_tasks_by_the_rows_it_makes(rand_df, monkeypatch):
+    users = rand_df.select("userId").distinct()
+    rows = lambda: sorted((r.userId, r.itemId, round(r.totalScore, 9), r.rank)
+                          for r in nb.user_knn_for(rand_df, users, 6).collect())
+    want = rows()
+    pairs = rand_df.alias("a").join(rand_df.alias("b"), "itemId").count()
+    assert nb._join_parts(rand_df, rand_df, "itemId") == nb.JOIN_PARTS
+    monkeypatch.setattr(nb, "JOIN_ROWS", pairs // 20)
+    assert nb._join_parts(rand_df, rand_df, "itemId") in (20, 21)
+    plan = nb.user_knn_for(rand_df, users, 6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [target" in plan and rows() == want and want
