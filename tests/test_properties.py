@@ -13,6 +13,7 @@ from reelrank.operators import factorize as fz
 from reelrank.operators import neighbours as nb
 from reelrank.operators import prepare as pr
 from reelrank.operators.rank import topn_per_user
+from tools.plans import recorded
 
 
 def random_ratings(seed, users=25, items=30, n=220):
@@ -259,6 +260,47 @@ def test_a_heavy_user_is_dealt_over_blocks(spark):
     assert len(sizes) >= 8 and max(sizes) < 2.5 * 6000 / len(sizes)
 
 
+def test_descent_in_parts_equals_blocks_and_exchanges_nothing(spark, monkeypatch):
+    """Ratings beyond the blocks are dealt into parts: the same factors, with no
+    Python and no exchange in a round, one task per side and part, also with a
+    user of a third of all ratings and a null id."""
+    rows = [(1, i, 1.0 + i % 5) for i in range(60)]
+    rows += [(u, (u * 7 + k) % 60, 1.0 + (u + k) % 5) for u in range(2, 42) for k in range(3)]
+    df = spark.createDataFrame(rows, "userId int, itemId long, rating double")
+    parts = fz.rating_parts(df.union(spark.createDataFrame([(None, 3, 2.0)], df.schema)),
+                            part_rows=60, min_parts=2)
+    assert parts.parts == 4 and parts.by_item.where("userId is not null").count() == len(rows)
+    assert isinstance(fz.deal_ratings(df, len(rows)), fz.RatingBlocks)
+    assert isinstance(fz.deal_ratings(df, len(rows) - 1), fz.RatingParts)
+
+    def values(factors):
+        return {(r.side, r.id): r.features for r in factors.collect()}
+    start = fz.stack_factors(*(fz.mf_init(df, k, 3, 1) for k in ("userId", "itemId")))
+    want = values(fz.mf_step(start, fz.rating_blocks(df), 3))
+    got = values(fz.mf_step(start, parts, 3))
+    assert got.keys() == want.keys()
+    assert all(np.allclose(got[k], want[k], rtol=1e-12) for k in want)
+    key = "spark.sql.maxSinglePartitionBytes"
+    before = spark.conf.get(key)
+    stored = fz.part_factors(start, 4)
+    try:
+        spark.conf.set(key, "1")
+        with recorded() as plans:
+            fz.part_step(stored, parts, 3)
+        assert spark.conf.get(key).startswith("1")
+    finally:
+        spark.conf.set(key, before)
+    plan = next(p for p in plans if "SortMergeJoin" in p)
+    assert "Exchange" not in plan and "Arrow" not in plan and "Python" not in plan
+    assert fz.part_updates(stored, parts, 3).rdd.getNumPartitions() == 8
+    U, M = fz.mf_gradient(df, 3, 3, seed=1)
+    monkeypatch.setattr(fz, "deal_ratings", lambda r: parts)
+    U2, M2 = fz.mf_gradient(df, 3, 3, seed=1)
+    for a, b in ((U, U2), (M, M2)):
+        a, b = ({r.id: r.features for r in x.collect()} for x in (a, b))
+        assert a.keys() == b.keys() and all(np.allclose(a[i], b[i], rtol=1e-12) for i in a)
+
+
 def test_als_recommend_shape(rand_df):
     t = rand_df.first().userId
     seen = {r.itemId for r in rand_df.filter(F.col("userId") == t).collect()}
